@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +16,9 @@ from corploom.functions import text as tx
 
 _SLACK = 1e-7
 
+# Functions of this module travel to the workers whole, so these need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def corpus_slice(df: DataFrame, order: str, head: int = 80, size: int = 50, names: tuple[str, str] = ("tat", "rus")) -> DataFrame:
     """First rows by `order`, first two string columns, nulls dropped, then the first `size`."""

@@ -300,10 +300,14 @@ def pair_candidates(cards: DataFrame, pair: DataFrame) -> DataFrame:
         F.struct(tags_of("l").alias("left"), tags_of("r").alias("right"), F.transform("terms", F.lower).alias("terms"))
     ).scalar()
     text = search_text(F.col("id"), F.col("description"), F.col("tags"))
-    both = F.arrays_overlap("tags", one.getField("left")) & F.arrays_overlap("tags", one.getField("right"))
-    named = tx.let(text, lambda whole: F.exists(one.getField("terms"), lambda t: F.contains(whole, t)))
-    return cards.withColumn("has_both_tags", F.coalesce(both, F.lit(False))).withColumn("has_term", named).filter(
-        F.col("has_both_tags") | F.col("has_term")
+    both = F.arrays_overlap("tags", "_pair.left") & F.arrays_overlap("tags", "_pair.right")
+    named = tx.let(text, lambda whole: F.exists(F.col("_pair.terms"), lambda t: F.contains(whole, t)))
+    return (
+        cards.withColumn("_pair", one)
+        .withColumn("has_both_tags", F.coalesce(both, F.lit(False)))
+        .withColumn("has_term", named)
+        .filter(F.col("has_both_tags") | F.col("has_term"))
+        .drop("_pair")
     )
 
 

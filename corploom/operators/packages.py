@@ -36,7 +36,7 @@ def overview(files: DataFrame) -> DataFrame:
     body, low = F.col("content"), F.lower(F.col("content"))
     rows = F.split(F.regexp_replace(body, r"\r", ""), "\n")
     header = _csv_cells(F.element_at(rows, 1))
-    data = F.filter(F.slice(rows, 2, 2147483647), lambda l: F.trim(l) != "")
+    data = F.filter(F.slice(rows, F.lit(2), F.greatest(F.size(rows) - 1, F.lit(0))), lambda l: F.trim(l) != "")
     at = F.array_position(header, F.lit("license_or_access")).cast("int")
     cell = lambda line, i: F.lower(F.coalesce(F.try_element_at(_csv_cells(line), F.nullif(i, F.lit(0))), F.lit("")))
     unknown = tx.let(at, lambda i: F.exists(data, lambda line: F.contains(cell(line, i), F.lit("unknown"))))

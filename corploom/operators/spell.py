@@ -62,7 +62,7 @@ def suggest(typos: DataFrame, vocab: DataFrame, limit: int = 3) -> DataFrame:
     """
     entries = vocab.agg(F.collect_list(F.struct("word", "count"))).scalar()
     scored = F.transform(
-        entries,
+        F.col("_vocab"),
         lambda v: F.struct(
             F.levenshtein(F.col("typo"), v["word"]).alias("d"), (-v["count"]).alias("rare"), v["word"].alias("word")
         ),
@@ -72,11 +72,12 @@ def suggest(typos: DataFrame, vocab: DataFrame, limit: int = 3) -> DataFrame:
         100 * (1 - s["d"] / F.greatest(F.length("typo"), F.length(s["word"]), F.lit(1))), 4
     )
     return (
-        typos.withColumn("_best", best)
+        typos.withColumn("_vocab", entries)
+        .withColumn("_best", best)
         .withColumn("top1", F.try_element_at("_best", F.lit(1))["word"])
         .withColumn("top1_score", similarity(F.try_element_at("_best", F.lit(1))))
         .withColumn("top3", F.transform("_best", lambda s: s["word"]))
-        .drop("_best")
+        .drop("_best", "_vocab")
     )
 
 

@@ -139,8 +139,8 @@ def landed_cards(docs: DataFrame) -> DataFrame:
             F.array(
                 F.concat(F.lit("language:"), "lang"),
                 F.concat(F.lit("size_categories:"), size),
-                extra("en", " the "),
-                extra("fr", " les "),
+                extra("en", " in "),
+                extra("fr", " la "),
                 F.when(F.contains("text", F.lit("!!")), F.lit("task_categories:translation")),
             )
         ).alias("tags"),
@@ -156,8 +156,8 @@ landed AS (
   SELECT source || '/' || substr(md5(text), 1, 12) AS id, doc_id AS seq, text AS description,
     ['language:' || lang,
      'size_categories:' || CASE WHEN n_chars < 1000 THEN 'n<1K' WHEN n_chars < 10000 THEN '1K<n<10K' ELSE '10K<n<100K' END]
-    || CASE WHEN lang <> 'en' AND contains(lower(text), ' the ') THEN ['language:en'] ELSE []::VARCHAR[] END
-    || CASE WHEN lang <> 'fr' AND contains(lower(text), ' les ') THEN ['language:fr'] ELSE []::VARCHAR[] END
+    || CASE WHEN lang <> 'en' AND contains(lower(text), ' in ') THEN ['language:en'] ELSE []::VARCHAR[] END
+    || CASE WHEN lang <> 'fr' AND contains(lower(text), ' la ') THEN ['language:fr'] ELSE []::VARCHAR[] END
     || CASE WHEN contains(text, '!!') THEN ['task_categories:translation'] ELSE []::VARCHAR[] END AS tags,
     CASE WHEN n_chars >= 300 THEN n_chars END AS downloads, length(source) AS likes, lang, source, n_chars
   FROM documents),
