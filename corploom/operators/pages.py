@@ -10,6 +10,7 @@ from operator import add, or_
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corploom.functions import text as tx
 from corploom.functions import urls
@@ -22,7 +23,7 @@ TAG = r"(?s)<[A-Za-z/!?][^>]*>"
 ANCHOR = r"(?is)<a\s[^>]*\bhref\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)[^>]*>(.*?)</a\s*>"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _unescape(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for texts in batches:
         yield texts.map(lambda s: None if s is None else html.unescape(s))

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corploom.functions import text as tx
 from corploom.operators.dedup import flag_exact
@@ -90,7 +91,7 @@ def coverage(df: DataFrame, fields: list[str]) -> DataFrame:
 APOSTROPHES, HYPHENS = "ʼ’‘`´′", "‐‑‒–−"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for texts in batches:
         yield texts.map(lambda s: None if s is None else unicodedata.normalize("NFC", s))
