@@ -71,6 +71,11 @@ def word_ngrams(text: Column, width: int) -> Column:
     return F.regexp_extract_all(joined, F.lit(pattern), F.lit(1))
 
 
+def computed_once(**measures: Column) -> Column:
+    """Measures as one struct behind a generator: a later filter on one is not copied below it and computed again."""
+    return F.explode_outer(F.array_repeat(F.struct(*[c.alias(n) for n, c in measures.items()]), 1))
+
+
 def let(value: Column, body) -> Column:
     """Bind a value once for use inside a lambda, which would compute it again per element."""
     return F.element_at(F.transform(F.array(value), body), 1)

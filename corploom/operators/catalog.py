@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corploom.functions import text as tx
 from corploom.functions import urls
 from corploom.operators.dedup import keep_last_by_key
+from corploom.session import ensure_checkpoint_dir
 
 CORPORA_COLUMNS = ["corpus", "source", "target", "alignment_pairs", "documents", "preprocessing", "version"]
 PARALLEL_SOURCE = urls.CORPORA_API
@@ -232,6 +233,8 @@ def size_categories(matches: DataFrame) -> DataFrame:
 
 def card_summary(matches: DataFrame, query_log: DataFrame) -> DataFrame:
     """Per language: queries tried and answered, cards, parallel candidates, downloads, top five, sizes."""
+    ensure_checkpoint_dir(matches.sparkSession)
+    matches = matches.checkpoint()  # read three times; ids and flags only
     log = query_log.groupBy("iso639_3").agg(
         F.count("*").alias("query_attempts"), F.count_if(F.col("error").isNull()).alias("query_successes")
     )

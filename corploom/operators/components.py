@@ -18,23 +18,24 @@ def connected(links: DataFrame, row_id: str, key: str, max_rounds: int = 200) ->
     lost executor costs one round at most.
     """
     ensure_checkpoint_dir(links.sparkSession)
+    links = links.checkpoint()
     # A key held by one row links nothing; drop it before the loop.
     key_sizes = links.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1)
-    shared = lookup(links, key_sizes.withColumn("_size", F.col("_n")), key, F.col(row_id), "_n").filter(
+    shared = lookup(links, key_sizes.withColumn("_size", F.col("_n")), key, F.col(row_id), "_n", settled=True).filter(
         F.col("_size").isNotNull()
     )
     all_rows = links.select(row_id).distinct()
     state = shared.select(row_id, key, F.col(row_id).alias("label")).checkpoint()
     for _ in range(max_rounds):
         lowest = state.groupBy(key).agg(F.min("label").alias("low"), F.count("*").alias("_n"))
-        offered = lookup(state, lowest, key, F.col(row_id), "_n")
+        offered = lookup(state, lowest, key, F.col(row_id), "_n", settled=True)
         best = offered.groupBy(row_id).agg(F.min("low").alias("new_label"))
         # Shortcut: a row's label is itself a row, whose own label may be lower still.
         holders = best.groupBy("new_label").agg(F.count("*").alias("_n"))
         jump = holders.join(
             best.select(F.col(row_id).alias("new_label"), F.col("new_label").alias("further")), "new_label", "left"
         )
-        best = lookup(best, jump, "new_label", F.col(row_id), "_n").select(
+        best = lookup(best, jump, "new_label", F.col(row_id), "_n", settled=True).select(
             row_id, F.least("new_label", F.coalesce("further", "new_label")).alias("new_label")
         )
         state_next = (

@@ -5,15 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corploom.session import ensure_checkpoint_dir
 
-def lookup(big: DataFrame, small: DataFrame, key: str, spread: Column, count: str, shares: int = 1000) -> DataFrame:
+
+def lookup(
+    big: DataFrame, small: DataFrame, key: str, spread: Column, count: str, shares: int = 1000, settled: bool = False
+) -> DataFrame:
     """Left join of `big` to `small` (one row per `key`) that no hot key can stall.
 
     `small[count]` says how many rows of `big` carry the key. Keys with at least
     1/`shares` of all rows number at most `shares`, so they are broadcast; the
     rest meet in an ordinary join, in which hot rows carry a key that matches
     nothing and is spread by `spread` (any evenly distributed column of `big`).
+    `small` is read three times, so it is checkpointed unless the caller says it is
+    cheap to compute again (`settled`).
     """
+    if not settled:
+        ensure_checkpoint_dir(small.sparkSession)
+        small = small.checkpoint()
     values = [c for c in small.columns if c not in (key, count)]
     total = small.agg(F.sum(count)).scalar()
     is_hot = F.col(count) * shares >= total

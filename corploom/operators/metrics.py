@@ -98,7 +98,9 @@ def _clipped(pairs: DataFrame, row_id: str, hypothesis: Column, reference: Colum
     Rows are spread by id first; grouping by (id, n, gram) then needs no second shuffle,
     and only six-odd totals per task travel further.
     """
-    both = pairs.select(row_id, hypothesis.alias("_h"), reference.alias("_r")).repartition(F.col(row_id))
+    both = pairs.select(row_id, hypothesis.alias("_h"), reference.alias("_r")).repartition(
+        int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), row_id  # a fixed number: rows grow after it
+    )
     sides = [
         F.struct(F.lit(n).alias("n"), F.lit(h).alias("h"), grams.alias("grams"))
         for column, h in (("_h", 1), ("_r", 0))

@@ -36,12 +36,9 @@ def clean_corpus(
     """Normalised text with features, copies flagged over all rows, and the keep decision."""
     clean = df.withColumn("text_clean", tx.normalize_space(F.col(text)))
     t = F.col("text_clean")
-    clean = (
-        clean.withColumn("chars", F.length(t))
-        .withColumn("tokens", tx.token_count(t))
-        .withColumn("script_share", tx.char_share(t, script))
-    )
     flagged = flag_exact(clean, t, row_id)
+    measures = tx.computed_once(chars=F.length(t), tokens=tx.token_count(t), script_share=tx.char_share(t, script))
+    flagged = flagged.select("*", measures.alias("_m")).select(*flagged.columns, "_m.*")
     keep = (F.col("chars") >= min_chars) & (F.col("script_share") >= min_share) & ~F.col("duplicate")
     return flagged.withColumn("keep", keep)
 

@@ -17,10 +17,12 @@ def exact_split(df: DataFrame, row_id: str, seed: int = 42, cuts: tuple[float, f
 
     No row is ranked against all others: a histogram over the first four hash
     digits (65,536 bins at most) finds the bins holding the cut ranks, and only
-    those bins are sorted to read the two cut hashes.
+    those bins are sorted to read the two cut hashes. `df` is checkpointed (it is read
+    three times): pass ids and numbers, and join the texts where they are written.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    hashes = df.select(tx.seeded_md5(row_id, seed=seed).alias("h")).checkpoint()
+    df = df.withColumn("_h", tx.seeded_md5(row_id, seed=seed)).checkpoint()
+    hashes = df.select(F.col("_h").alias("h"))
     binned = hashes.withColumn("bin", F.substring("h", 1, 4))
     before = F.sum("n").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
     histogram = binned.groupBy("bin").agg(F.count("*").alias("n")).select("bin", "n", before.alias("before"))
@@ -39,11 +41,11 @@ def exact_split(df: DataFrame, row_id: str, seed: int = 42, cuts: tuple[float, f
         .agg(*[F.max(F.when(F.col("cut") == i, F.col("h"))).alias(f"t{i}") for i in range(len(cuts))])
     )
     bounds = cut_hashes.select(F.struct(*cut_hashes.columns)).scalar()
-    h = tx.seeded_md5(row_id, seed=seed)
+    h = F.col("_h")
     return df.withColumn(
         "split",
         F.when(h < bounds.getField("t0"), NAMES[0]).when(h < bounds.getField("t1"), NAMES[1]).otherwise(NAMES[2]),
-    )
+    ).drop("_h")
 
 
 def threshold_split(key: Column | str, seed: int = 42, cuts: tuple[float, float] = (0.8, 0.9)) -> Column:

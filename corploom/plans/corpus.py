@@ -164,7 +164,8 @@ SELECT '{{"n_sources":' || n_sources || ',"n_texts_kept":' || n_texts_kept || ',
 
 
 def kept(spark: SparkSession, d: str) -> DataFrame:
-    return clean(spark, d).filter("keep")
+    narrow = clean(spark, d).select("doc_id", "chars", "tokens", "script_share", "keep")
+    return narrow.filter("keep").drop("keep")
 
 
 def hash_split_exact(spark: SparkSession, d: str) -> DataFrame:
