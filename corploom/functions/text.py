@@ -14,8 +14,8 @@ CYRILLIC = "А-Яа-яЁёӐ-ӿ"
 CYRILLIC_EXTENDED = "А-Яа-яЁёӜӝӞӟӤӥӦӧӴӵӸӹІіЇїЄєЎўҐґ"
 LATIN = "A-Za-z"
 LATIN_WIDE = "A-Za-zÀ-ÖØ-öø-ÿ"
-OCR_PUNCTUATION = r"0-9\s.,:;!?()\-—\"«»"
-PROSE_PUNCTUATION = r"\s.,:;!?()\-«»\"'/"
+OCR_PUNCTUATION = r"0-9\s\x1c-\x1f.,:;!?()\-—\"«»"
+PROSE_PUNCTUATION = r"\s\x1c-\x1f.,:;!?()\-«»\"'/"
 
 WORD_CLASS = r"\p{L}\p{N}_"
 WORD = f"[{WORD_CLASS}]+"

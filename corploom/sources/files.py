@@ -57,7 +57,7 @@ def read_or_else(spark: SparkSession, path: str, fallback: DataFrame) -> DataFra
 
 def read_package_files(spark: SparkSession, path: str) -> DataFrame:
     """(package, name, content): whole files, the package being the folder they lie in."""
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     parts = F.split(F.col("_metadata.file_path"), "/")
     return whole.select(
         F.url_decode(F.element_at(parts, -2)).alias("package"),
