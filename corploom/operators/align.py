@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corploom.functions import text as tx
+from corploom.operators.lookup import settled
 
 _SLACK = 1e-7
 
@@ -80,6 +81,7 @@ def _block_top(left: DataFrame, right: DataFrame, k: int, block: int, exclude_sa
         return df.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias(name))
 
     blocks = per_cell(left, "nl").join(per_cell(right, "nr"), "cell")
+    blocks = F.broadcast(blocks)  # one row per cell
     l = _blocked(left.join(blocks, "cell"), "nl", "nr", "left", block).select(
         "left_id", "v", "cell", F.col("_left").alias("bl"), F.col("_other").alias("br")
     )
@@ -138,11 +140,12 @@ def top_matches(
     """
     spark = right.sparkSession
     pivots = spark.sparkContext.broadcast(_pivots(right, right_id, vector, cells))
-    r = _placed(right, right_id, vector, pivots, "right")
-    l = _placed(left, left_id, vector, pivots, "left")
+    r = settled(_placed(right, right_id, vector, pivots, "right"))
+    l = settled(_placed(left, left_id, vector, pivots, "left"))
     reach = r.groupBy("cell").agg(F.max(F.element_at("angles", F.col("cell") + 1)).alias("radius"))
     r = r.drop("angles")
     home = _block_top(l.drop("angles"), r, k, block, exclude_same)
+    home = settled(home)
     floor = _ranked(home, k).groupBy("left_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("floor"))
     cells_with_reach = reach.agg(F.collect_list(F.struct("cell", "radius"))).scalar()
     bounded = l.join(floor, "left_id", "left").select(

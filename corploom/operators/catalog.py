@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corploom.functions import text as tx
 from corploom.functions import urls
 from corploom.operators.dedup import keep_last_by_key
-from corploom.session import ensure_checkpoint_dir
+from corploom.operators.lookup import settled
 
 CORPORA_COLUMNS = ["corpus", "source", "target", "alignment_pairs", "documents", "preprocessing", "version"]
 PARALLEL_SOURCE = urls.CORPORA_API
@@ -50,17 +50,20 @@ def corpora_summary(corpora: DataFrame, code: str, pos: str, pivot: str = "ru")
     )
 
 
-def corpora_totals(corpora: DataFrame, pos: str) -> DataFrame:
-    """Totals over a whole answer, without the language filter; list items keep the raw count."""
+def corpora_totals(corpora: DataFrame, answer: str, pos: str) -> DataFrame:
+    """Totals of each answer as a whole, without the language filter; list items keep the raw count."""
     item = F.concat(F.col("corpus"), F.lit(" ("), F.col("alignment_pairs").cast("string"), F.lit(")"))
     listed = F.array_sort(F.collect_list(F.struct(F.col(pos), item.alias("item"))))
-    return corpora.agg(
+    return corpora.groupBy(answer).agg(
         F.sum(tx.as_int(F.col("alignment_pairs"))).alias("pairs"),
         F.sum(tx.as_int(F.col("documents"))).alias("documents"),
         F.array_join(F.transform(listed, lambda s: s["item"]), "; ").alias("corpora"),
     )
 
 
+MAX_LANGUAGES = 10_000
+
+
 # ---- dataset cards -------------------------------------------------------
 
 
@@ -162,9 +165,13 @@ def card_matches(cards: DataFrame, languages: DataFrame) -> DataFrame:
     """(iso639_3, id, named, ...): cards tagged with a language or naming it as a whole phrase.
 
     Tag matches are an equi-join. For names, a card's tokens are intersected with the
-    first tokens of all names (one small array: the registry of languages has fewer
-    than 8,000 codes), and only those hits are exploded, joined and verified.
+    first tokens of all names, and only those hits are exploded, joined and verified.
+    Tags and names of languages may be broadcast: `languages` holds one row per ISO
+    639-3 code, of which there are fewer than 8,000 (checked below).
     """
+    languages = settled(languages)
+    if languages.count() > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages: not a language table")
     facts = cards.select(
         "id",
         "pos",
@@ -177,7 +184,7 @@ def card_matches(cards: DataFrame, languages: DataFrame) -> DataFrame:
     wanted = languages.select("iso639_3", F.explode(language_tags(languages)).alias("tag"))
     tagged = (
         small.withColumn("tag", F.explode(F.array_distinct("tags")))
-        .join(wanted, "tag")
+        .join(F.broadcast(wanted), "tag")
         .select("iso639_3", "id", "pos", "downloads", "tags", "ru", F.lit(False).alias("named"))
     )
     parts = name_parts(languages)
@@ -185,7 +192,7 @@ def card_matches(cards: DataFrame, languages: DataFrame) -> DataFrame:
     hits = F.array_intersect(tx.tokens(F.col("text")), heads)
     mentioned = (
         facts.withColumn("first_token", F.explode(hits))
-        .join(parts, "first_token")
+        .join(F.broadcast(parts), "first_token")
         .filter(F.rlike("text", F.col("pattern")))
         .select(
             "iso639_3",
@@ -233,8 +240,7 @@ def size_categories(matches: DataFrame) -> DataFrame:
 
 def card_summary(matches: DataFrame, query_log: DataFrame) -> DataFrame:
     """Per language: queries tried and answered, cards, parallel candidates, downloads, top five, sizes."""
-    ensure_checkpoint_dir(matches.sparkSession)
-    matches = matches.checkpoint()  # read three times; ids and flags only
+    matches = settled(matches)  # read three times; ids and flags only
     log = query_log.groupBy("iso639_3").agg(
         F.count("*").alias("query_attempts"), F.count_if(F.col("error").isNull()).alias("query_successes")
     )

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corploom.operators.lookup import lookup
-from corploom.session import ensure_checkpoint_dir
+from corploom.operators.lookup import lookup, settled
 
 
 def connected(links: DataFrame, row_id: str, key: str, max_rounds: int = 200) -> DataFrame:
@@ -17,31 +16,30 @@ def connected(links: DataFrame, row_id: str, key: str, max_rounds: int = 200) ->
     Every round is checkpointed to the shared folder, so lineage stays short and a
     lost executor costs one round at most.
     """
-    ensure_checkpoint_dir(links.sparkSession)
-    links = links.checkpoint()
+    links = settled(links)
     # A key held by one row links nothing; drop it before the loop.
     key_sizes = links.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1)
-    shared = lookup(links, key_sizes.withColumn("_size", F.col("_n")), key, F.col(row_id), "_n", settled=True).filter(
+    shared = lookup(links, key_sizes.withColumn("_size", F.col("_n")), key, F.col(row_id), "_n").filter(
         F.col("_size").isNotNull()
     )
     all_rows = links.select(row_id).distinct()
-    state = shared.select(row_id, key, F.col(row_id).alias("label")).checkpoint()
+    state = settled(shared.select(row_id, key, F.col(row_id).alias("label")))
     for _ in range(max_rounds):
         lowest = state.groupBy(key).agg(F.min("label").alias("low"), F.count("*").alias("_n"))
-        offered = lookup(state, lowest, key, F.col(row_id), "_n", settled=True)
+        offered = lookup(state, lowest, key, F.col(row_id), "_n")
         best = offered.groupBy(row_id).agg(F.min("low").alias("new_label"))
         # Shortcut: a row's label is itself a row, whose own label may be lower still.
         holders = best.groupBy("new_label").agg(F.count("*").alias("_n"))
         jump = holders.join(
             best.select(F.col(row_id).alias("new_label"), F.col("new_label").alias("further")), "new_label", "left"
         )
-        best = lookup(best, jump, "new_label", F.col(row_id), "_n", settled=True).select(
+        best = lookup(best, jump, "new_label", F.col(row_id), "_n").select(
             row_id, F.least("new_label", F.coalesce("further", "new_label")).alias("new_label")
         )
-        state_next = (
-            state.join(best, row_id)
-            .select(row_id, key, F.col("new_label").alias("label"), (F.col("new_label") < F.col("label")).alias("moved"))
-            .checkpoint()
+        state_next = settled(
+            state.join(best, row_id).select(
+                row_id, key, F.col("new_label").alias("label"), (F.col("new_label") < F.col("label")).alias("moved")
+            )
         )
         moved = state_next.filter("moved").limit(1).count()
         state = state_next.drop("moved")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corploom.functions import text as tx
 from corploom.operators.components import connected
-from corploom.operators.lookup import lookup
+from corploom.operators.lookup import lookup, settled
 
 
 def flag_exact(df: DataFrame, text: Column, row_id: str, out: str = "duplicate") -> DataFrame:
@@ -90,19 +90,18 @@ def shingles(text: Column, width: int) -> Column:
     return F.when(F.size(grams) > 0, grams).otherwise(whole)
 
 
-def minhash_bands(df: DataFrame, text: str, row_id: str, bands: int, rows: int, width: int) -> DataFrame:
-    """(row_id, band, key): the signature is `bands * rows` minima, folded before the shuffle."""
-    hashed = df.select(row_id, F.explode(shingles(F.col(text), width)).alias("shingle")).select(
-        row_id, (F.conv(F.substring(F.md5("shingle"), 1, 8), 16, 10).cast("long") % PRIME).alias("h")
+def minhash_signatures(df: DataFrame, keys: list[str], text: str, bands: int, rows: int, width: int) -> DataFrame:
+    """(keys..., band_keys): `bands * rows` minima per row, folded before the shuffle; no text is shuffled."""
+    hashed = df.select(*keys, F.explode(shingles(F.col(text), width)).alias("shingle")).select(
+        *keys, (F.conv(F.substring(F.md5("shingle"), 1, 8), 16, 10).cast("long") % PRIME).alias("h")
     )
     family = hash_family(bands * rows)
     minima = [F.min((F.col("h") * a + b) % PRIME).alias(f"m{i}") for i, (a, b) in enumerate(family)]
-    signatures = hashed.groupBy(row_id).agg(*minima)
-    keys = [
+    band_keys = [
         F.md5(F.concat_ws(",", F.lit(str(b)), *[F.col(f"m{b * rows + r}").cast("string") for r in range(rows)]))
         for b in range(bands)
     ]
-    return signatures.select(row_id, F.explode(F.array(*keys)).alias("band_key"))
+    return hashed.groupBy(*keys).agg(*minima).select(*keys, F.array(*band_keys).alias("band_keys"))
 
 
 def near_duplicates(
@@ -114,19 +113,22 @@ def near_duplicates(
     row's source. No pairs are formed: a row links to its bands, and labels spread
     over that two-sided graph.
     """
-    # 1. Exact copies (same tokens) collapse first: they share every band by definition.
-    words = F.array_join(tx.tokens(F.lower(F.col(text))), " ")
-    exact = df.select(row_id, source, F.md5(words).alias("_words"))
-    firsts = exact.groupBy("_words").agg(F.min(row_id).alias("first_id"), F.count("*").alias("_n"))
-    heads = df.join(firsts.select(F.col("first_id").alias(row_id)), row_id, "left_semi")
-    links = minhash_bands(heads, text, row_id, bands, rows, width)
-    labels = connected(links, row_id, "band_key")
-    # 2. Back from heads to all rows, on the word hash.
+    signed = settled(
+        minhash_signatures(df, [row_id, source], text, bands, rows, width).select(
+            row_id, source, "band_keys", F.md5(F.array_join("band_keys", "")).alias("signature")
+        )
+    )
+    # 1. Rows with one signature share every band: one of them stands for all.
+    firsts = settled(signed.groupBy("signature").agg(F.min(row_id).alias("first_id"), F.count("*").alias("_n")))
+    heads = signed.join(firsts.select(F.col("first_id").alias(row_id)), row_id, "left_semi")
+    labels = connected(heads.select(row_id, F.explode("band_keys").alias("band_key")), row_id, "band_key")
+    # 2. Back from the heads to all rows, on the signature.
     head_labels = firsts.join(labels.withColumnRenamed(row_id, "first_id"), "first_id")
-    placed = lookup(exact, head_labels.select("_words", "label", "_n"), "_words", F.col(row_id), "_n")
-    sizes = placed.groupBy("label").agg(F.count("*").alias("group_size"))
-    kept = exact.select(F.col(row_id).alias("label"), F.col(source).alias("kept_source"))
-    group = sizes.filter("group_size > 1").join(kept, "label").withColumn("_n", F.col("group_size"))
+    narrow = signed.select(row_id, source, "signature")
+    placed = settled(lookup(narrow, head_labels.select("signature", "label", "_n"), "signature", F.col(row_id), "_n"))
+    sizes = placed.groupBy("label").agg(F.count("*").alias("group_size")).filter("group_size > 1")
+    kept = narrow.select(F.col(row_id).alias("label"), F.col(source).alias("kept_source"))
+    group = sizes.join(kept, "label").withColumn("_n", F.col("group_size"))
     return (
         lookup(placed.select(row_id, source, "label"), group, "label", F.col(row_id), "_n")
         .filter(F.col("group_size").isNotNull())

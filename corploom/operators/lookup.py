@@ -7,23 +7,37 @@ from pyspark.sql import functions as F
 
 from corploom.session import ensure_checkpoint_dir
 
+# A side of at most this many rows is broadcast; its rows are counted first, never guessed.
+BROADCAST_ROWS = 1_000_000
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """A table read several times, computed once and kept in the shared checkpoint folder."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
 
 def lookup(
-    big: DataFrame, small: DataFrame, key: str, spread: Column, count: str, shares: int = 1000, settled: bool = False
+    big: DataFrame,
+    small: DataFrame,
+    key: str,
+    spread: Column,
+    count: str,
+    shares: int = 1000,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Left join of `big` to `small` (one row per `key`) that no hot key can stall.
 
-    `small[count]` says how many rows of `big` carry the key. Keys with at least
-    1/`shares` of all rows number at most `shares`, so they are broadcast; the
-    rest meet in an ordinary join, in which hot rows carry a key that matches
-    nothing and is spread by `spread` (any evenly distributed column of `big`).
-    `small` is read three times, so it is checkpointed unless the caller says it is
-    cheap to compute again (`settled`).
+    `small[count]` says how many rows of `big` carry the key. A small side of few rows
+    is broadcast. Else, keys with at least 1/`shares` of all rows number at most
+    `shares`, so they are broadcast; the rest meet in an ordinary join, in which hot
+    rows carry a key that matches nothing and is spread by `spread` (any evenly
+    distributed column of `big`).
     """
-    if not settled:
-        ensure_checkpoint_dir(small.sparkSession)
-        small = small.checkpoint()
     values = [c for c in small.columns if c not in (key, count)]
+    small = settled(small)
+    if small.count() <= broadcast_rows:
+        return big.join(F.broadcast(small.drop(count)), key, "left").select(*big.columns, *values)
     total = small.agg(F.sum(count)).scalar()
     is_hot = F.col(count) * shares >= total
     hot = small.filter(is_hot).select(key, *[F.col(v).alias(f"_hot_{v}") for v in values], F.lit(True).alias("_hot"))
@@ -32,13 +46,20 @@ def lookup(
         "_key", F.when(F.col("_hot"), F.concat(F.lit("\x00"), spread.cast("string"))).otherwise(F.col(key).cast("string"))
     )
     joined = marked.join(cold, "_key", "left")
-    return joined.select(
-        *big.columns, *[F.coalesce(f"_hot_{v}", f"_cold_{v}").alias(v) for v in values]
-    )
+    return joined.select(*big.columns, *[F.coalesce(f"_hot_{v}", f"_cold_{v}").alias(v) for v in values])
 
 
-def salted_semi_join(big: DataFrame, keys: DataFrame, key: str, spread: Column, salts: int = 16) -> DataFrame:
-    """Rows of `big` whose key is listed in `keys` (distinct); each key meets `salts` slices of `big`."""
+def semi_join(
+    big: DataFrame, keys: DataFrame, key: str, spread: Column, salts: int = 16, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Rows of `big` whose key is listed in `keys` (distinct).
+
+    Few keys are broadcast; more of them meet `salts` slices of `big`, so that a hot
+    key is divided among that many tasks.
+    """
+    keys = settled(keys.select(key))
+    if keys.count() <= broadcast_rows:
+        return big.join(F.broadcast(keys), key, "left_semi")
     spread_keys = keys.select(key, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     return salted.join(spread_keys, [key, "_salt"], "left_semi").drop("_salt")

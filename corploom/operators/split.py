@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corploom.functions import text as tx
-from corploom.operators.lookup import salted_semi_join
-from corploom.session import ensure_checkpoint_dir
+from corploom.operators.lookup import semi_join, settled
 
 NAMES = ("train", "dev", "test")
 
@@ -20,8 +19,7 @@ def exact_split(df: DataFrame, row_id: str, seed: int = 42, cuts: tuple[float, f
     those bins are sorted to read the two cut hashes. `df` is checkpointed (it is read
     three times): pass ids and numbers, and join the texts where they are written.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    df = df.withColumn("_h", tx.seeded_md5(row_id, seed=seed)).checkpoint()
+    df = settled(df.withColumn("_h", tx.seeded_md5(row_id, seed=seed)))
     hashes = df.select(F.col("_h").alias("h"))
     binned = hashes.withColumn("bin", F.substring("h", 1, 4))
     before = F.sum("n").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
@@ -82,5 +80,5 @@ def held_out_overlap(
     grams = grams.select(row_id, F.md5("gram").alias("gram"))
     test_grams = held_out.select(F.explode(tx.word_ngrams(F.col(held_text), width)).alias("gram"))
     test_grams = test_grams.select(F.md5("gram").alias("gram")).distinct()
-    shared = salted_semi_join(grams, test_grams, "gram", F.col(row_id))
+    shared = semi_join(grams, test_grams, "gram", F.col(row_id))
     return shared.groupBy(row_id).agg(F.count("*").alias("shared_ngrams"))

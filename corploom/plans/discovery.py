@@ -112,7 +112,8 @@ def _classified(spark: SparkSession, d: str) -> DataFrame:
         "page_id", "host", "url", F.regexp_extract("html", r'<html[^>]*\blang="([a-z]+)"', 1).alias("page_lang"),
         pages.page_text(F.col("html")).alias("text"),
     )
-    joined = opened.join(found, "page_id", "left").join(langs, "page_lang", "left")
+    # One row per language code: small by nature.
+    joined = opened.join(found, "page_id", "left").join(F.broadcast(langs), "page_lang", "left")
     return pages.classify(joined, "text", "url", F.col("names"), "download_link_count")
 
 

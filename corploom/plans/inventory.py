@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corploom.functions import text as tx
 from corploom.functions import urls
 from corploom.operators import catalog, snapshots
+from corploom.operators.lookup import settled
 from corploom.plans import tables as tb
 from corploom.plans.tables import RUN_DATE, documents, load
 from corploom.sources import files
@@ -37,14 +38,14 @@ CORPORA_SUMMARY = f"WITH {tb.CORPORA_SQL}, {SUMMARY_SQL} SELECT * FROM summary"
 
 def corpora_totals(spark: SparkSession, d: str) -> DataFrame:
     rows = tb.corpora(documents(spark, d)).withColumn("order", F.concat_ws("|", "pos", "code", "alignment_pairs", "source"))
-    return catalog.corpora_totals(rows, "order")
+    return catalog.corpora_totals(rows, "code", "order")
 
 
 CORPORA_TOTALS = f"""
 WITH {tb.CORPORA_SQL}
-SELECT sum({_PAIRS})::BIGINT AS pairs, sum({_DOCS})::BIGINT AS documents,
+SELECT code, sum({_PAIRS})::BIGINT AS pairs, sum({_DOCS})::BIGINT AS documents,
   string_agg(corpus || ' (' || alignment_pairs || ')', '; ' ORDER BY pos || '|' || code || '|' || alignment_pairs || '|' || source) AS corpora
-FROM corpora"""
+FROM corpora GROUP BY code"""
 
 
 def corpora_conform(spark: SparkSession, d: str) -> DataFrame:
@@ -105,8 +106,13 @@ SELECT id AS dataset_id, 'https://huggingface.co/datasets/' || id AS page, 'http
 FROM cards"""
 
 
-def matches(spark: SparkSession, d: str) -> DataFrame:
-    return catalog.card_matches(cards(spark, d), tb.all_languages(spark, documents(spark, d)))
+def _languages(spark: SparkSession, d: str) -> DataFrame:
+    """The language table, computed once: it is small and read in many places."""
+    return settled(tb.all_languages(spark, documents(spark, d)))
+
+
+def matches(spark: SparkSession, d: str, languages: DataFrame | None = None) -> DataFrame:
+    return catalog.card_matches(cards(spark, d), languages or _languages(spark, d))
 
 
 def catalog_matches(spark: SparkSession, d: str) -> DataFrame:
@@ -167,9 +173,9 @@ def _log(languages: DataFrame) -> DataFrame:
     return catalog.query_log(languages).withColumn("error", F.when(F.contains("query", F.lit("/")), "bad request"))
 
 
-def card_summary(spark: SparkSession, d: str) -> DataFrame:
-    languages = tb.all_languages(spark, documents(spark, d))
-    return catalog.card_summary(matches(spark, d), _log(languages))
+def card_summary(spark: SparkSession, d: str, languages: DataFrame | None = None) -> DataFrame:
+    languages = languages or _languages(spark, d)
+    return catalog.card_summary(matches(spark, d, languages), _log(languages))
 
 
 CARD_SUMMARY_SQL = f"""
@@ -242,11 +248,9 @@ SELECT iso639_3, 3, language_ru || ' корпус скачать датасет'
 # ---- inventory -----------------------------------------------------------
 
 
-def inventory(spark: SparkSession, d: str) -> DataFrame:
-    docs = documents(spark, d)
-    return catalog.inventory(
-        tb.all_languages(spark, docs), corpora_summary(spark, d), card_summary(spark, d), RUN_DATE
-    )
+def inventory(spark: SparkSession, d: str, languages: DataFrame | None = None) -> DataFrame:
+    languages = languages or _languages(spark, d)
+    return catalog.inventory(languages, corpora_summary(spark, d), card_summary(spark, d, languages), RUN_DATE)
 
 
 INVENTORY_SQL = f"""
@@ -265,7 +269,8 @@ INVENTORY = f"WITH {_INV} SELECT * FROM inv"
 
 
 def inventory_summary(spark: SparkSession, d: str) -> DataFrame:
-    return catalog.inventory_summary(inventory(spark, d), tb.all_languages(spark, documents(spark, d)))
+    languages = _languages(spark, d)
+    return catalog.inventory_summary(inventory(spark, d, languages), languages)
 
 
 INVENTORY_SUMMARY = f"""

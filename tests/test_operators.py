@@ -82,10 +82,11 @@ def test_near_duplicates_find_an_edited_copy(spark):
 def test_lookup_equals_left_join_with_a_hot_key(spark):
     big = spark.range(4000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 900).cast("string"))).alias("k"))
     small = big.groupBy("k").agg(F.count("*").alias("n")).filter("n > 3").withColumn("v", F.length("k"))
-    got = {tuple(r) for r in lookup.lookup(big, small, "k", F.col("id"), "n", shares=10).collect()}
-    assert got == {tuple(r) for r in big.join(small.drop("n"), "k", "left").select("id", "k", "v").collect()}
-    kept = lookup.salted_semi_join(big, small.select("k"), "k", F.col("id"))
-    assert kept.count() == big.join(small, "k", "left_semi").count()
+    for limit in (0, 10_000):
+        got = {tuple(r) for r in lookup.lookup(big, small, "k", F.col("id"), "n", shares=10, broadcast_rows=limit).collect()}
+        assert got == {tuple(r) for r in big.join(small.drop("n"), "k", "left").select("id", "k", "v").collect()}
+        kept = lookup.semi_join(big, small.select("k"), "k", F.col("id"), broadcast_rows=limit)
+        assert kept.count() == big.join(small, "k", "left_semi").count()
 
 
 def test_boilerplate_lines_go(spark):
