@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corploom.functions import text as tx
 from corploom.functions import urls
 from corploom.operators.dedup import keep_last_by_key
-from corploom.operators.lookup import settled
+from corploom.operators.lookup import join_keyed, settled
 
 CORPORA_COLUMNS = ["corpus", "source", "target", "alignment_pairs", "documents", "preprocessing", "version"]
 PARALLEL_SOURCE = urls.CORPORA_API
@@ -61,9 +61,6 @@ def corpora_totals(corpora: DataFrame, answer: str, pos: str) -> DataFrame:
     )
 
 
-MAX_LANGUAGES = 10_000
-
-
 # ---- dataset cards -------------------------------------------------------
 
 
@@ -165,13 +162,9 @@ def card_matches(cards: DataFrame, languages: DataFrame) -> DataFrame:
     """(iso639_3, id, named, ...): cards tagged with a language or naming it as a whole phrase.
 
     Tag matches are an equi-join. For names, a card's tokens are intersected with the
-    first tokens of all names, and only those hits are exploded, joined and verified.
-    Tags and names of languages may be broadcast: `languages` holds one row per ISO
-    639-3 code, of which there are fewer than 8,000 (checked below).
+    first tokens of all names (one array: ISO 639-3 has fewer than 8,000 codes), and
+    only those hits are exploded, joined and verified.
     """
-    languages = settled(languages)
-    if languages.count() > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages: not a language table")
     facts = cards.select(
         "id",
         "pos",
@@ -182,17 +175,16 @@ def card_matches(cards: DataFrame, languages: DataFrame) -> DataFrame:
     )
     small = facts.select("id", "pos", "downloads", "tags", looks_ru_parallel(F.col("text"), F.col("tags")).alias("ru"))
     wanted = languages.select("iso639_3", F.explode(language_tags(languages)).alias("tag"))
+    tag_rows = small.withColumn("tag", F.explode(F.array_distinct("tags")))
     tagged = (
-        small.withColumn("tag", F.explode(F.array_distinct("tags")))
-        .join(F.broadcast(wanted), "tag")
+        join_keyed(tag_rows, wanted, "tag", F.col("id"))
         .select("iso639_3", "id", "pos", "downloads", "tags", "ru", F.lit(False).alias("named"))
     )
     parts = name_parts(languages)
     heads = parts.agg(F.array_distinct(F.collect_list("first_token"))).scalar()
     hits = F.array_intersect(tx.tokens(F.col("text")), heads)
     mentioned = (
-        facts.withColumn("first_token", F.explode(hits))
-        .join(F.broadcast(parts), "first_token")
+        join_keyed(facts.withColumn("first_token", F.explode(hits)), parts, "first_token", F.col("id"))
         .filter(F.rlike("text", F.col("pattern")))
         .select(
             "iso639_3",

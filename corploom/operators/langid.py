@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corploom.operators.lookup import BROADCAST_ROWS, settled
+from corploom.operators.lookup import join_keyed
 
 
 def ngrams(text: Column, width: int = 3) -> Column:
@@ -31,16 +31,13 @@ def identify(
 ) -> DataFrame:
     """Best language per text, 'mixed' when the runner-up is within `margin`, 'unknown' without evidence.
 
-    The profile is bounded (size x languages, counted here) and broadcast as one row per
+    The profile is bounded (size x languages), counted, and broadcast as one row per
     n-gram; scores are summed per text before anything is shuffled.
     """
-    profile = settled(profile)
-    if profile.count() > BROADCAST_ROWS:
-        raise ValueError("profile too large: lower its size per language")
     per_gram = profile.groupBy("gram").agg(F.collect_list(F.struct("profile_lang", "weight")).alias("hits"))
     grams = df.select(row_id, F.explode(ngrams(F.col(text), width)).alias("gram"))
     scored = (
-        grams.join(F.broadcast(per_gram), "gram")
+        join_keyed(grams, per_gram, "gram", F.col(row_id))
         .select(row_id, F.explode("hits").alias("hit"))
         .groupBy(row_id, "hit.profile_lang")
         .agg(F.sum("hit.weight").alias("score"))

@@ -49,17 +49,23 @@ def lookup(
     return joined.select(*big.columns, *[F.coalesce(f"_hot_{v}", f"_cold_{v}").alias(v) for v in values])
 
 
-def semi_join(
-    big: DataFrame, keys: DataFrame, key: str, spread: Column, salts: int = 16, broadcast_rows: int = BROADCAST_ROWS
+def join_keyed(
+    big: DataFrame,
+    small: DataFrame,
+    key: str,
+    spread: Column,
+    how: str = "inner",
+    salts: int = 16,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Rows of `big` whose key is listed in `keys` (distinct).
+    """Join `big` (the left side) to `small`, whose keys need not be unique.
 
-    Few keys are broadcast; more of them meet `salts` slices of `big`, so that a hot
-    key is divided among that many tasks.
+    A small side of few rows is broadcast; a longer one meets `salts` slices of `big`,
+    so that a hot key is divided among that many tasks.
     """
-    keys = settled(keys.select(key))
-    if keys.count() <= broadcast_rows:
-        return big.join(F.broadcast(keys), key, "left_semi")
-    spread_keys = keys.select(key, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    small = settled(small)
+    if small.count() <= broadcast_rows:
+        return big.join(F.broadcast(small), key, how)
+    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    return salted.join(spread_keys, [key, "_salt"], "left_semi").drop("_salt")
+    return salted.join(repeated, [key, "_salt"], how).drop("_salt")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corploom.functions import text as tx
-from corploom.operators.lookup import semi_join, settled
+from corploom.operators.lookup import join_keyed, settled
 
 NAMES = ("train", "dev", "test")
 
@@ -80,5 +80,5 @@ def held_out_overlap(
     grams = grams.select(row_id, F.md5("gram").alias("gram"))
     test_grams = held_out.select(F.explode(tx.word_ngrams(F.col(held_text), width)).alias("gram"))
     test_grams = test_grams.select(F.md5("gram").alias("gram")).distinct()
-    shared = semi_join(grams, test_grams, "gram", F.col(row_id))
+    shared = join_keyed(grams, test_grams, "gram", F.col(row_id), "left_semi")
     return shared.groupBy(row_id).agg(F.count("*").alias("shared_ngrams"))

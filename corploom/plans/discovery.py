@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corploom.functions import text as tx
 from corploom.functions import urls
 from corploom.operators import align, packages, pages, recognition
+from corploom.operators.lookup import join_keyed
 from corploom.plans import tables as tb
 from corploom.plans.corpus import LW, SP, W, _n, _norm, _share
 from corploom.plans.tables import SCRIPT, documents, load
@@ -112,8 +113,7 @@ def _classified(spark: SparkSession, d: str) -> DataFrame:
         "page_id", "host", "url", F.regexp_extract("html", r'<html[^>]*\blang="([a-z]+)"', 1).alias("page_lang"),
         pages.page_text(F.col("html")).alias("text"),
     )
-    # One row per language code: small by nature.
-    joined = opened.join(found, "page_id", "left").join(F.broadcast(langs), "page_lang", "left")
+    joined = join_keyed(opened.join(found, "page_id", "left"), langs, "page_lang", F.col("page_id"), "left")
     return pages.classify(joined, "text", "url", F.col("names"), "download_link_count")
 
 

@@ -174,8 +174,8 @@ def host_pages(spark: SparkSession, folder: str) -> DataFrame:
 def search_results(pages: DataFrame, queries: int = 4) -> DataFrame:
     """Search answers per host: its first pages stand for the queries, their links for the results."""
     order = F.row_number().over(Window.partitionBy("host").orderBy("page_id"))
-    first = pages.select("page_id", "host").withColumn("query_no", order - 1).filter(F.col("query_no") < queries)
-    asked = pages.drop("host").join(first, "page_id")
+    first = pages.select("page_id", "host").withColumn("nth", order).filter(F.col("nth") <= queries)
+    asked = pages.drop("host").join(first.select("page_id", "host", (F.col("nth") - 1).alias("query_no")), "page_id")
     links = pg.page_links(asked, ["host", "query_no", "page_id"], "url", "html")
     return links.select(
         "host",

@@ -85,7 +85,7 @@ def test_lookup_equals_left_join_with_a_hot_key(spark):
     for limit in (0, 10_000):
         got = {tuple(r) for r in lookup.lookup(big, small, "k", F.col("id"), "n", shares=10, broadcast_rows=limit).collect()}
         assert got == {tuple(r) for r in big.join(small.drop("n"), "k", "left").select("id", "k", "v").collect()}
-        kept = lookup.semi_join(big, small.select("k"), "k", F.col("id"), broadcast_rows=limit)
+        kept = lookup.join_keyed(big, small.select("k"), "k", F.col("id"), "left_semi", broadcast_rows=limit)
         assert kept.count() == big.join(small, "k", "left_semi").count()
 
 
