@@ -86,9 +86,9 @@ def script_tokens(text: Column, chars: str, at_least: int = 2) -> Column:
 
 
 def unique_lower_count(words: Column) -> Column:
-    """Number of different words, case apart; one lower() over the joined words."""
+    """Number of different words, case apart; one lower() over the joined words, no branch that repeats them."""
     folded = F.array_distinct(F.split(F.lower(F.array_join(words, " ")), " "))
-    return F.when(F.size(words) == 0, F.lit(0)).otherwise(F.size(folded))
+    return F.size(F.array_remove(folded, ""))
 
 
 def short_token_count(text: Column, longest: int = 2) -> Column:
