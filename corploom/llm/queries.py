@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corploom.llm import mixing, sharding, urlfilter, warc
+from corploom.llm import coverdedup, decontamination, mixing, rules, sharding, urlfilter, warc
 
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
 
@@ -20,6 +20,24 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(docs, size).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = decontamination.match_benchmark(docs, _table(spark, folder, "benchmark"))
+    items = decontamination.items_found(F.col("matches"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return coverdedup.remove_repeats(_table(spark, folder, "documents").select("doc_id", "text"), texts=False)
+
+
 def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
     _, records = warc.round_trip(_table(spark, folder, "pages").select("page_id", "url", "html"))
     return records.select(
@@ -31,6 +49,12 @@ def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    learned = rules.learn(docs, _table(spark, folder, "labels"))
+    return rules.judge(docs, learned).select("doc_id", *rules.BASE, "base_failed", "kept", "rule")
+
+
 # The rules of the query.
 URL_RULES = [
     ("allow", "org", "/"),
@@ -52,7 +76,10 @@ def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_decontamination": op2_decontamination,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_warc": op4_warc,
+    "op5_quality_rules": op5_quality_rules,
     "op6_url_filter": op6_url_filter,
     "op8_sharding": op8_sharding,
 }
