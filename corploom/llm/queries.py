@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corploom.llm import coverdedup, decontamination, mixing, rules, sharding, urlfilter, warc
+from corploom.llm import coverdedup, decontamination, minhash, mixing, rules, sharding, urlfilter, warc
 
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
 
@@ -74,6 +74,10 @@ def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_table(_table(spark, folder, "documents").select("doc_id", "text", "source"))
 
 
+def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, folder, "documents").select("doc_id", "text"), width=2)
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_decontamination": op2_decontamination,
@@ -82,6 +86,7 @@ QUERIES = {
     "op5_quality_rules": op5_quality_rules,
     "op6_url_filter": op6_url_filter,
     "op8_sharding": op8_sharding,
+    "op9_near_duplicates": op9_near_duplicates,
 }
 
 _BASE32_SQL = " || ".join(
