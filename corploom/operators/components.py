@@ -1,51 +1,52 @@
-"""Connected groups over a two-sided graph (rows and the keys they carry)."""
+"""Connected groups in logarithmic rounds: large-star and small-star steps over an edge table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corploom.operators.lookup import lookup, settled
+from corploom.operators.lookup import settled
 
 
-def connected(links: DataFrame, row_id: str, key: str, max_rounds: int = 200) -> DataFrame:
-    """(row_id, label): lowest row id reachable through shared keys.
+def components(edges: DataFrame, left: str, right: str) -> DataFrame:
+    """(id, label) for every id in `edges`: the lowest id reachable from it.
 
-    A round takes the lowest label per key (pre-aggregated), hands it back to the
-    rows (hot keys broadcast, the rest joined) and then follows labels of labels.
-    Every round is checkpointed to the shared folder, so lineage stays short and a
-    lost executor costs one round at most.
+    A round points the larger neighbours of each id to the least of its neighbourhood (large
+    star), then its smaller ones and itself to the least of them (small star), until the edges
+    are stars around the lowest ids; long chains shrink by halves. Minima are folded before
+    the shuffle, hubs are split by the adaptive join, and each round is checkpointed. Rounds
+    have no fixed end: they stop when a round changes nothing.
     """
-    links = settled(links)
-    # A key held by one row links nothing; drop it before the loop.
-    key_sizes = links.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1)
-    shared = lookup(links, key_sizes.withColumn("_size", F.col("_n")), key, F.col(row_id), "_n").filter(
-        F.col("_size").isNotNull()
-    )
-    all_rows = links.select(row_id).distinct()
-    state = settled(shared.select(row_id, key, F.col(row_id).alias("label")))
-    for _ in range(max_rounds):
-        lowest = state.groupBy(key).agg(F.min("label").alias("low"), F.count("*").alias("_n"))
-        offered = lookup(state, lowest, key, F.col(row_id), "_n")
-        best = offered.groupBy(row_id).agg(F.min("low").alias("new_label"))
-        # Shortcut: a row's label is itself a row, whose own label may be lower still.
-        holders = best.groupBy("new_label").agg(F.count("*").alias("_n"))
-        jump = holders.join(
-            best.select(F.col(row_id).alias("new_label"), F.col("new_label").alias("further")), "new_label", "left"
-        )
-        best = lookup(best, jump, "new_label", F.col(row_id), "_n").select(
-            row_id, F.least("new_label", F.coalesce("further", "new_label")).alias("new_label")
-        )
-        state_next = settled(
-            state.join(best, row_id).select(
-                row_id, key, F.col("new_label").alias("label"), (F.col("new_label") < F.col("label")).alias("moved")
-            )
-        )
-        moved = state_next.filter("moved").limit(1).count()
-        state = state_next.drop("moved")
-        if not moved:
+    up = edges.select(F.greatest(left, right).alias("u"), F.least(left, right).alias("v"))
+    state = settled(up.filter("u <> v").distinct())
+    mark = _mark(state)
+    while mark[0]:
+        both = state.unionByName(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        inner = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        state = settled(inner.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        before, mark = mark, _mark(state)
+        if mark == before:
             break
-    else:
-        raise RuntimeError(f"labels still moving after {max_rounds} rounds")
-    labels = state.groupBy(row_id).agg(F.min("label").alias("label"))
-    return all_rows.join(labels, row_id, "left").select(row_id, F.coalesce("label", row_id).alias("label"))
+    roots = state.select(F.col("v").alias("id")).distinct().withColumn("label", F.col("id"))
+    return state.select(F.col("u").alias("id"), F.col("v").alias("label")).unionByName(roots)
+
+
+def _mark(state: DataFrame) -> tuple:
+    """Number of edges and a digest that tells whether a round changed any."""
+    return tuple(state.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first())
+
+
+def connected(links: DataFrame, row_id: str, key: str) -> DataFrame:
+    """(row_id, label): lowest row id reachable through shared keys.
+
+    Rows are tied to the lowest row of each of their keys, so a key held by m rows gives m - 1
+    edges and no pairs.
+    """
+    links = settled(links.filter(F.col(key).isNotNull()).select(row_id, key))
+    heads = links.groupBy(key).agg(F.min(row_id).alias("_head"), F.count("*").alias("_n")).filter("_n > 1").drop("_n")
+    edges = links.join(heads, key).filter(F.col(row_id) != F.col("_head")).select(row_id, "_head")
+    labels = components(edges, row_id, "_head").withColumnRenamed("id", row_id)
+    return links.select(row_id).distinct().join(labels, row_id, "left").select(row_id, F.coalesce("label", row_id).alias("label"))
