@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corploom.llm import coverdedup, decontamination, minhash, mixing, rules, sharding, urlfilter, warc
+from corploom.llm import coverdedup, decontamination, minhash, mixing, rules, sharding, suffixdedup, urlfilter, warc
 
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
 
@@ -70,6 +70,10 @@ def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urlfilter.judge(pages, urlfilter.rules_table(spark, URL_RULES)).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixdedup.remove_repeats(_table(spark, folder, "documents").select("doc_id", "text"), texts=False)
+
+
 def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_table(_table(spark, folder, "documents").select("doc_id", "text", "source"))
 
@@ -85,6 +89,7 @@ QUERIES = {
     "op4_warc": op4_warc,
     "op5_quality_rules": op5_quality_rules,
     "op6_url_filter": op6_url_filter,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_sharding": op8_sharding,
     "op9_near_duplicates": op9_near_duplicates,
 }
