@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corploom.llm import coverdedup, decontamination, minhash, mixing, rules, sharding, suffixdedup, urlfilter, warc
+from corploom.llm import coverdedup, decontamination, langid, minhash, mixing, rules, sharding, suffixdedup, urlfilter, warc
 
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
 
@@ -82,6 +82,11 @@ def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, folder, "documents").select("doc_id", "text"), width=2)
 
 
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return langid.predict(docs, langid.fit(docs))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_decontamination": op2_decontamination,
@@ -92,6 +97,7 @@ QUERIES = {
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_sharding": op8_sharding,
     "op9_near_duplicates": op9_near_duplicates,
+    "op10_language_id": op10_language_id,
 }
 
 _BASE32_SQL = " || ".join(
