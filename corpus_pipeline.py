@@ -1,2 +1,76 @@
-QUERIES = {}
-ORACLES = {}
+"""From raw documents to sharded training data, in stages that each read what the one before kept."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from corploom.llm import decontamination, minhash, mixing, rules, sharding
+from corploom.llm.ranges import without_keys
+from corploom.llm.shared import shared_table
+
+KEY, TEXT, SOURCE = "doc_id", "text", "source"
+
+
+def _plain(docs: DataFrame) -> tuple[DataFrame, list, dict[str, str]]:
+    """The rows under names that clash with no result; the columns that restore them; the new names."""
+    names = {c: f"_in{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), [F.col(n).alias(c) for c, n in names.items()], names
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base and that no learned rule rejects."""
+    learned = rules.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    rows, back, names = _plain(docs)
+    return rules.judge(rows, learned, names[TEXT], keep_text=True).filter("kept").select(*back)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates (5-word shingles, similarity of 0.8 or more): the smallest key."""
+    judged = minhash.near_duplicates(docs, KEY, TEXT)
+    return without_keys(docs, judged.filter("not kept").select(KEY), KEY)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a run of 10 benchmark words."""
+    rows, back, names = _plain(docs)
+    found = decontamination.match_benchmark(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), names[TEXT])
+    return found.filter("not contaminated").select(*back)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Whole documents by the target weights, each as often as the mix takes it."""
+    rows, back, names = _plain(docs)
+    size = F.coalesce(F.regexp_count(names[TEXT], F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0))
+    mixed = mixing.mix(rows, size, names[SOURCE], names[KEY], whole=True)
+    copies = F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(0).cast("int")
+    return mixed.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies))).select(*back)
+
+
+def interleaved_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The shard and slot of each document."""
+    return sharding.shard_table(docs, text=TEXT, source=SOURCE, key=KEY)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("source_mixing", source_mixing),
+    ("interleaved_shards", interleaved_shards),
+]
+
+# Learned rules and linked groups can't be put into SQL; tests hold the stages against brute force.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`; each result is written to the shared folder and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = shared_table(stage(spark, docs, sf_dir), name)
+    return docs
+
+
+QUERIES = {"pipeline": run}
+ORACLES: dict[str, str] = {}
