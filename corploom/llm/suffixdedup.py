@@ -1,8 +1,9 @@
-"""Repeated byte strings, found by suffix arrays over shards that hold all places of an anchor."""
+"""Repeated byte strings, found by suffix arrays over shards that hold all places of a core."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from hashlib import sha256
 
 import numpy as np
@@ -16,9 +17,10 @@ from corploom.llm.ranges import bit_filter, passes, remove_ranges, row_key
 from corploom.llm.shared import settled
 from corploom.llm.suffixes import common_prefixes, suffix_array
 
-# Window starts of which anchors are sought at once; bounds the eight-byte arrays.
-BLOCK = 1 << 19
-# Bytes of one suffix array, and distinct surroundings of one anchor that may share it.
+# Window starts of which pieces are sought at once; bounds the eight-byte arrays.
+BLOCK = 1 << 16
+STEPS = 4
+# Bytes of one suffix array, and different pieces of one core that may share it.
 SHARD_BYTES = 1 << 20
 GROUP = 512
 _LOW = np.uint64((1 << 20) - 1)
@@ -28,68 +30,89 @@ def anchor_width(length: int) -> int:
     return max(1, length // 8)
 
 
-def anchors(values: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(places, hashes): in each window of `length` bytes, the last of its least anchors.
+@lru_cache(maxsize=2)
+def _scales(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return W._powers(W._BASE, n), W._powers(pow(W._BASE, -1, 1 << 64), n)
 
-    Which anchor it is depends on the window's bytes alone, so equal windows hold the same one.
+
+def core_step(length: int) -> int:
+    """Windows of one anchor are dealt to STEPS pieces by the anchor's place in them."""
+    return -(-(length - anchor_width(length) + 1) // STEPS)
+
+
+def pieces(values: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first start, number of starts, core's place, core's hash) of the pieces of all windows of `length` bytes.
+
+    A window's anchor is the last of its least strings of `anchor_width` bytes; windows of one
+    anchor with the anchor at nearly one place are a piece, and the bytes that all windows of
+    such a piece can hold are its core. Anchor, piece and core follow from the window's bytes
+    alone, so equal windows lie in pieces of equal cores.
     """
-    k = anchor_width(length)
+    k, step = anchor_width(length), core_step(length)
     span = length - k + 1
+    up, down = _scales(BLOCK + length)
     ends = np.repeat(offsets[1:], np.diff(offsets))
-    found, hashes = [], []
+    found: list[tuple[np.ndarray, ...]] = []
     for at in range(0, len(values) - length + 1, BLOCK):
         block = values[at : at + BLOCK + length - 1]
-        h = W.windows(W._VALUES[block], k)
-        packed = (h & ~_LOW) | (_LOW - np.arange(len(h), dtype=np.uint64))
-        least, width = packed, 1
+        total = np.zeros(len(block) + 1, np.uint64)
+        np.cumsum(W._VALUES[block] * up[: len(block)], out=total[1:])
+        h = (total[k:] - total[:-k]) * down[: len(block) - k + 1]
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(W._STEP)
+        h &= ~_LOW
+        h |= _LOW - np.arange(len(h), dtype=np.uint64)
+        least, width = h, 1
         while width * 2 <= span:
             least = np.minimum(least[:-width], least[width:])
             width *= 2
-        starts = len(h) - span + 1
-        least = np.minimum(least[:starts], least[span - width : span - width + starts])
-        inside = at + np.arange(starts) + length <= ends[at : at + starts]
-        place = (_LOW - (least[inside] & _LOW)).astype(np.int64)
-        if len(place):
-            place = place[np.append(True, place[1:] != place[:-1])]
-            place = np.unique(place)
-            found.append(place + at)
-            hashes.append(h[place])
+        n = len(h) - span + 1
+        least = np.minimum(least[:n], least[span - width : span - width + n])
+        start = np.flatnonzero(at + np.arange(n) + length <= ends[at : at + n])
+        if not len(start):
+            continue
+        anchor = (_LOW - (least[start] & _LOW)).astype(np.int64)
+        part = (anchor - start) // step
+        new = np.ones(len(start), bool)
+        new[1:] = (np.diff(start) != 1) | (anchor[1:] != anchor[:-1]) | (part[1:] != part[:-1])
+        opens = np.flatnonzero(new)
+        low = part[opens] * step
+        core = anchor[opens] - low
+        stop = anchor[opens] - np.minimum(low + step, span) + 1 + length
+        hashes = W.finish((total[stop] - total[core]) * down[core] + part[opens].astype(np.uint64))
+        found.append((start[opens] + at, np.diff(np.append(opens, len(start))), core + at, hashes))
     if not found:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    place, first = np.unique(np.concatenate(found), return_index=True)
-    return place, np.concatenate(hashes)[first]
+        return (*(np.empty(0, np.int64) for _ in range(3)), np.empty(0, np.uint64))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def anchor_hashes(docs: DataFrame, text: str, length: int) -> DataFrame:
+def core_hashes(docs: DataFrame, text: str, length: int) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.text_slices(batch, 0, BLOCK):
-                yield pa.RecordBatch.from_arrays([pa.array(W.signed(anchors(*W.raw(part.column(0)), length)[1]))], ["h"])
+                yield pa.RecordBatch.from_arrays([pa.array(W.signed(pieces(*W.raw(part.column(0)), length)[3]))], ["h"])
 
     return docs.select(text).mapInArrow(scan, "h long")
 
 
 def surroundings(docs: DataFrame, key: str, text: str, length: int, known: Broadcast, whole: bool) -> DataFrame:
-    """(_key, h, around, start, stop) and, with `whole`, content: for each anchor that may be
-    repeated, all windows of `length` bytes that hold it, and a hash of them."""
-    k = anchor_width(length)
+    """(_key, h, around, start, stop) and, with `whole`, content: for each piece whose core may be
+    repeated, the bytes of all its windows, and a hash of them."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.text_slices(batch, 1, BLOCK):
                 values, offsets = W.raw(part.column(1))
-                place, h = anchors(values, offsets, length)
-                hit = passes(known.value, h)
-                place, h = place[hit], h[hit]
-                if not len(place):
+                found = pieces(values, offsets, length)
+                start, n, core, h = (x[passes(known.value, found[3])] for x in found)
+                if not len(start):
                     continue
-                owner = np.searchsorted(offsets, place, "right") - 1
-                start = np.maximum(place - (length - k), offsets[owner])
-                stop = np.minimum(place + length, offsets[owner + 1])
+                owner = np.searchsorted(offsets, start, "right") - 1
+                stop = start + n - 1 + length
                 contents = [values[a:b].tobytes() for a, b in zip(start, stop, strict=True)]
                 around = [
                     int.from_bytes(sha256(p.to_bytes(4, "little") + c).digest()[:8], "little", signed=True)
-                    for p, c in zip((place - start).tolist(), contents, strict=True)
+                    for p, c in zip((core - start).tolist(), contents, strict=True)
                 ]
                 keys = part.column(0).to_numpy(zero_copy_only=False)[owner]
                 columns = [pa.array(keys), pa.array(W.signed(h)), pa.array(around, pa.int64())]
@@ -145,8 +168,8 @@ def shard_repeats(rows: list[dict], length: int) -> Iterator[tuple[int, int, int
 
 
 def suffix_shards(rows: DataFrame, length: int) -> DataFrame:
-    """(_key, _from, _to) from rows (h, _key, start, stop, content): anchors are dealt to tasks by hash,
-    whole anchors fill a shard up to about SHARD_BYTES, and each shard is one suffix array."""
+    """(_key, _from, _to) from rows (h, _key, start, stop, content): cores are dealt to tasks by hash,
+    whole cores fill a shard up to about SHARD_BYTES, and each shard is one suffix array."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
@@ -172,7 +195,7 @@ def suffix_shards(rows: DataFrame, length: int) -> DataFrame:
 
 
 def single_windows(rows: DataFrame, length: int) -> DataFrame:
-    """(_key, _from, _to) for anchors with too many surroundings for a task: their windows are counted by hash."""
+    """(_key, _from, _to) for cores with too many pieces for a task: their windows are counted by hash."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,23 +221,23 @@ def single_windows(rows: DataFrame, length: int) -> DataFrame:
 def repeated_ranges(docs: DataFrame, key: str, text: str, length: int) -> DataFrame:
     """(_key, _from, _to): byte ranges covered by strings of `length` bytes that start more than once anywhere.
 
-    1. Each window of `length` bytes holds an anchor that its bytes choose; anchors seen twice go
-       into a bit filter. 2. The surroundings of such an anchor are all windows that hold it;
-       equal ones are repeats throughout, known from hashes. 3. Anchors with different
-       surroundings go, one copy of each, to shards with a suffix array. Only anchors with more
-       than GROUP surroundings, which no task should gather, have their windows counted by hash.
+    1. Windows of `length` bytes fall into pieces with a core of most of a window, chosen by
+       their bytes; cores seen twice go into a bit filter. 2. Pieces of equal bytes are repeats
+       throughout, known from hashes. 3. Cores with different pieces go, one copy of each, to
+       shards with a suffix array. Only cores with more than GROUP different pieces, which no
+       task should gather, have their windows counted by hash.
     """
-    seen = anchor_hashes(docs, text, length).groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
+    seen = core_hashes(docs, text, length).groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
     known = bit_filter(seen, "h")
+    placed = settled(surroundings(docs, key, text, length, known, False))
     counted = settled(
-        surroundings(docs, key, text, length, known, False)
-        .groupBy("h", "around")
+        placed.groupBy("h", "around")
         .agg(F.count("*").alias("times"), F.min(F.struct("_key", "start", "stop")).alias("first"))
     )
     groups = counted.groupBy("h").agg(F.count("*").alias("kinds"))
     split = counted.join(groups.filter("kinds > 1"), "h").select("h", "around", "kinds", "times", "first")
     known_again = settled(counted.filter("times > 1").select("h", "around"))
-    same = surroundings(docs, key, text, length, known, False).join(known_again, ["h", "around"])
+    same = placed.join(known_again, ["h", "around"])
     whole = same.filter(F.col("stop") - F.col("start") >= length).select("_key", F.col("start").alias("_from"), F.col("stop").alias("_to"))
     shown = split.select("h", "around", "kinds", F.col("first._key").alias("_key"), F.col("first.start").alias("start"))
     content = settled(

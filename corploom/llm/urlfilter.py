@@ -89,12 +89,12 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
         (F.col("verdict") == "block").alias("blocks"),
     )
     best = fitting.groupBy("host", "path").agg(
-        F.max_by(F.struct(F.concat("rule_host", "rule_path").alias("rule"), "verdict"), order).alias("best")
+        F.max_by(F.struct(F.concat("rule_host", "rule_path").alias("rule"), "verdict"), order).alias("_best")
     )
     return rows.join(best, ["host", "path"], "left").select(
         *[F.col(f"`{c}`") for c in kept],
         "host",
         "path",
-        F.col("best.rule").alias("rule"),
-        F.coalesce("best.verdict", F.lit(default)).alias("verdict"),
+        F.col("_best.rule").alias("rule"),
+        F.coalesce("_best.verdict", F.lit(default)).alias("verdict"),
     )

@@ -12,10 +12,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Bytes hashed at once; bounds the eight-byte arrays that hashing needs.
-PIECE = 1 << 20
+# Bytes hashed at once; the eight-byte arrays of a piece stay in a core's cache.
+PIECE = 1 << 17
 # Bytes of text whose arrays are held at once; a longer text makes a slice of its own.
-SLICE = 4 << 20
+SLICE = 1 << 19
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
 _STEP = 0xC2B2AE3D27D4EB4F
