@@ -399,13 +399,14 @@ def parse_decisions(answers: DataFrame, raw: str, card_id: str) -> DataFrame:
         F.when(ok, F.col("d.label")).otherwise("llm_unparsed").alias("label"),
         F.coalesce("d.confidence", F.lit("")).alias("confidence"),
         F.coalesce("d.reason", F.lit("")).alias("reason"),
+        F.coalesce("d.evidence", F.lit("")).alias("evidence"),
         F.coalesce("d.needs_human_review", F.lit(True)).alias("needs_human_review"),
         F.when(~ok, F.col(raw)).alias("raw_answer"),
     )
 
 
 def undecided(cards: DataFrame) -> DataFrame:
-    """Placeholder rows while no answers exist."""
+    """Placeholder rows while no answers exist; label, confidence, reason and mode are fixed values."""
     return cards.select(
         F.col("id").alias("dataset_id"),
         F.lit("needs_openrouter_key").alias("label"),

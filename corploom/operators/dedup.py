@@ -53,18 +53,26 @@ def drop_boilerplate(df: DataFrame, text: str, row_id: str, at_least: int) -> Da
     """Text without the lines that occur at least `at_least` times in the corpus.
 
     Lines travel as hashes. A boilerplate line is by nature a hot key, hence the
-    split look-up instead of a plain anti-join.
+    split look-up instead of a plain anti-join. Only the places of dropped lines are
+    gathered per row and applied where the text lies; every row keeps its row.
     """
-    rows = exploded_lines(df, text, row_id).withColumn("line_hash", F.md5("line"))
+    rows = exploded_lines(df, text, row_id).select(row_id, "pos", F.md5("line").alias("line_hash"))
     frequent = rows.groupBy("line_hash").agg(F.count("*").alias("n")).filter(F.col("n") >= at_least)
     flagged = lookup(
         rows, frequent.withColumn("boilerplate", F.lit(True)), "line_hash", F.concat_ws(":", row_id, "pos"), "n"
     )
-    kept = F.col("boilerplate").isNull()
-    ordered = F.array_sort(F.collect_list(F.when(kept, F.struct("pos", "line"))))
-    return flagged.groupBy(row_id).agg(
-        F.array_join(F.transform(ordered, lambda s: s["line"]), "\n").alias("text_kept"),
-        F.count_if(~kept).alias("lines_dropped"),
+    hits = flagged.filter("boilerplate").groupBy(row_id).agg(F.collect_set("pos").alias("_dropped"))
+    trimmed = F.transform(tx.lines(F.col(text)), lambda line: F.trim(line))
+    kept = F.filter(trimmed, lambda line, i: (F.length(line) > 0) & ~F.array_contains(F.col("_places"), i))
+    return (
+        df.select(row_id, text)
+        .join(hits, row_id, "left")
+        .withColumn("_places", F.coalesce("_dropped", F.array().cast("array<int>")))
+        .select(
+            row_id,
+            F.coalesce(F.array_join(kept, "\n"), F.lit("")).alias("text_kept"),
+            F.size("_places").cast("long").alias("lines_dropped"),
+        )
     )
 
 
@@ -84,10 +92,9 @@ def hash_family(n: int) -> list[tuple[int, int]]:
 
 
 def shingles(text: Column, width: int) -> Column:
-    """Runs of `width` words; a shorter text is one shingle as a whole."""
-    grams = tx.word_ngrams(text, width)
-    whole = F.array(F.trim(F.regexp_replace(F.lower(text), f"[^{tx.WORD_CLASS}]+", " ")))
-    return F.when(F.size(grams) > 0, grams).otherwise(whole)
+    """Runs of `width` words; a shorter text is one shingle as a whole, a text without words none."""
+    whole = F.filter(F.array(F.trim(F.regexp_replace(F.lower(text), f"[^{tx.WORD_CLASS}]+", " "))), lambda w: w != "")
+    return tx.let(tx.word_ngrams(text, width), lambda grams: F.when(F.size(grams) > 0, grams).otherwise(whole))
 
 
 def minhash_signatures(df: DataFrame, keys: list[str], text: str, bands: int, rows: int, width: int) -> DataFrame:

@@ -31,6 +31,11 @@ def _csv_cells(line: Column) -> Column:
     return F.transform(F.split(line, _COMMA), lambda c: F.trim(F.regexp_replace(c, '^"|"$', "")))
 
 
+def _by_name(value: str) -> Column:
+    """Map of the required files to the largest value; a name may occur more than once, a missing one has null."""
+    return F.create_map(*[c for n in REQUIRED_FILES for c in (F.lit(n), F.max(F.when(F.col("name") == n, F.col(value))))])
+
+
 def overview(files: DataFrame) -> DataFrame:
     """One row per package with the few facts all rules need; contents stay behind in the scan."""
     body, low = F.col("content"), F.lower(F.col("content"))
@@ -56,8 +61,8 @@ def overview(files: DataFrame) -> DataFrame:
     ).filter(name.isin(*REQUIRED_FILES))
     return files.groupBy("package").agg(F.count("*").alias("files")).join(
         facts.groupBy("package").agg(
-            F.map_from_entries(F.collect_list(F.struct("name", "chars"))).alias("chars"),
-            F.map_from_entries(F.collect_list(F.struct("name", "trimmed"))).alias("trimmed"),
+            _by_name("chars").alias("chars"),
+            _by_name("trimmed").alias("trimmed"),
             F.first("columns", ignorenulls=True).alias("columns"),
             F.bool_or("unknown_license").alias("unknown_license"),
             F.bool_or("placeholder").alias("placeholder"),

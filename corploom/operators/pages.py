@@ -20,7 +20,7 @@ HIDDEN = (
     r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>|<noscript\b[^>]*>.*?</noscript\s*>"
 )
 TAG = r"(?s)<[A-Za-z/!?][^>]*>"
-ANCHOR = r"(?is)<a\s[^>]*\bhref\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)[^>]*>(.*?)</a\s*>"
+ANCHOR = r"(?is)<a\s(?:[^>]*?[^\w>-])?href\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)[^>]*>(.*?)</a\s*>"
 
 
 @F.pandas_udf(T.StringType())

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from corploom.functions import text as tx
 from corploom.operators.dedup import flag_exact
+from corploom.operators.lookup import settled
 
 
 def raw_corpus(df: DataFrame, text: str, script: str) -> DataFrame:
@@ -30,17 +31,31 @@ def filtered_corpus(raw: DataFrame, text: str, row_id: str, min_chars: int = 200
     return flag_exact(kept, F.col(text), row_id, "duplicate_text")
 
 
+def clean_measures(
+    df: DataFrame, text: str, row_id: str, script: str, *keep: str, min_chars: int = 300, min_share: float = 0.45
+) -> DataFrame:
+    """Measures and hash of the normalised text, copies flagged over all rows, and the keep decision.
+
+    The text is read and normalised once and left behind; what is shuffled is narrow.
+    """
+    t = F.col("_t.clean")
+    normal = df.select(row_id, *keep, tx.computed_once(clean=tx.normalize_space(F.col(text))).alias("_t"))
+    measures = tx.computed_once(
+        text_hash=tx.text_hash(t), chars=F.length(t), tokens=tx.token_count(t), script_share=tx.char_share(t, script)
+    )
+    narrow = settled(normal.select(row_id, *keep, measures.alias("_m")).select(row_id, *keep, "_m.*"))
+    firsts = narrow.groupBy("text_hash").agg(F.min(row_id).alias(row_id)).select(row_id, F.lit(False).alias("duplicate"))
+    flagged = narrow.join(firsts, row_id, "left").withColumn("duplicate", F.coalesce("duplicate", F.lit(True)))
+    enough = (F.col("chars") >= min_chars) & (F.col("script_share") >= min_share) & ~F.col("duplicate")
+    return flagged.withColumn("keep", enough)
+
+
 def clean_corpus(
     df: DataFrame, text: str, row_id: str, script: str, min_chars: int = 300, min_share: float = 0.45
 ) -> DataFrame:
-    """Normalised text with features, copies flagged over all rows, and the keep decision."""
-    clean = df.withColumn("text_clean", tx.normalize_space(F.col(text)))
-    t = F.col("text_clean")
-    flagged = flag_exact(clean, t, row_id)
-    measures = tx.computed_once(chars=F.length(t), tokens=tx.token_count(t), script_share=tx.char_share(t, script))
-    flagged = flagged.select("*", measures.alias("_m")).select(*flagged.columns, "_m.*")
-    keep = (F.col("chars") >= min_chars) & (F.col("script_share") >= min_share) & ~F.col("duplicate")
-    return flagged.withColumn("keep", keep)
+    """The rows with `clean_measures` and the normalised text, joined where the text is to be written."""
+    measures = clean_measures(df, text, row_id, script, min_chars=min_chars, min_share=min_share)
+    return df.withColumn("text_clean", tx.normalize_space(F.col(text))).join(measures, row_id)
 
 
 def filter_review(raw: DataFrame, text: str, min_chars: int = 200, min_share: float = 0.45) -> DataFrame:

@@ -38,9 +38,10 @@ def by_version(df: DataFrame, versions: dict[str, Column], out: str = "text") ->
     return df.select(*df.columns, F.explode(forms).alias("_f")).select(*[c for c in df.columns if c != out], "_f.*")
 
 
-def next_step(diagnostics: DataFrame, file_id: str) -> DataFrame:
-    """Best version per file (most tokens, then fewest odd characters) and the advice for it."""
-    rank = F.struct(F.col("tokens_2plus"), (-F.col("weird_char_share")).alias("clean"))
+def next_step(diagnostics: DataFrame, file_id: str, versions: tuple[str, ...] = ("raw", "preprocessed")) -> DataFrame:
+    """Best version per file (most tokens, then fewest odd characters, then the first of `versions`) and the advice for it."""
+    place = F.array_position(F.array(*[F.lit(v) for v in versions]), F.col("version"))
+    rank = F.struct(F.col("tokens_2plus"), (-F.col("weird_char_share")).alias("clean"), (-place).alias("first"))
     best = diagnostics.groupBy(file_id).agg(
         F.max_by(F.struct("version", "tokens_2plus", "weird_char_share"), rank).alias("b")
     )

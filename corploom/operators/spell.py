@@ -111,10 +111,11 @@ def near_words(unknown: DataFrame, vocab: DataFrame, distance: int = 1, limit: i
     equi-join misses nothing. How many words can share a form is bounded by the alphabet
     and the word length, not by the corpus.
     """
-    left = unknown.select("word", F.explode(deletions(F.col("word"), distance)).alias("form"))
-    right = vocab.select(
-        F.col("word").alias("candidate"), F.col("count").alias("n"), F.explode(deletions(F.col("word"), distance)).alias("form")
-    )
+    # A word longer than all candidates by more than the distance has none; it is left out of the search alone.
+    longest = vocab.agg(F.coalesce(F.max(F.length("word")), F.lit(0))).scalar()
+    forms = lambda w: F.explode(F.transform(deletions(w, distance), lambda f: F.xxhash64(f))).alias("form")
+    left = unknown.filter(F.length("word") <= longest + distance).select("word", forms(F.col("word")))
+    right = vocab.select(F.col("word").alias("candidate"), F.col("count").alias("n"), forms(F.col("word")))
     pairs = (
         left.join(right, "form")
         .withColumn("d", F.levenshtein("word", "candidate", distance))
@@ -135,12 +136,17 @@ def word_list(df: DataFrame, text: str, source: str, script: str, at_least: int
 
 
 def with_status(listed: DataFrame, foreign: DataFrame, min_sources: int = 2) -> DataFrame:
-    """accepted / unsure / reject: words of a dominant language are for a person to look at."""
+    """accepted / unsure / reject, with notes: a word of a dominant language is for a person to look at
+    if several sources have it, else rejected; a word of too few sources is unsure."""
     marked = listed.join(foreign.select("word", F.lit(True).alias("foreign")), "word", "left")
-    foreign_word = F.coalesce("foreign", F.lit(False))
-    return marked.withColumn("foreign", foreign_word).withColumn(
-        "status",
-        F.when(foreign_word, "unsure").when(F.col("source_count") >= min_sources, "accepted").otherwise("unsure"),
+    foreign_word, several = F.coalesce("foreign", F.lit(False)), F.col("source_count") >= min_sources
+    notes = F.array_compact(
+        F.array(F.when(foreign_word, "frequent in the dominant language"), F.when(~several, "too few sources"))
+    )
+    return (
+        marked.withColumn("status", F.when(foreign_word & ~several, "reject").when(~foreign_word & several, "accepted").otherwise("unsure"))
+        .withColumn("notes", F.array_join(notes, "; "))
+        .withColumn("foreign", foreign_word)
     )
 
 
@@ -186,14 +192,23 @@ def standardise(found: DataFrame, variants: DataFrame, mapping: tuple[str, str]
 
 
 def translate_by_dictionary(segments: DataFrame, text: str, row_id: str, dictionary: DataFrame) -> DataFrame:
-    """Word-for-word baseline: known words replaced, unknown ones kept and counted."""
+    """Word-for-word baseline: known words replaced, unknown ones kept and counted.
+
+    Only the places of known words are gathered per row; a row without words keeps its row.
+    """
     split = segments.select(row_id, F.posexplode(tx.tokens(F.lower(F.col(text)))).alias("pos", "word"))
     counts = split.groupBy("word").agg(F.count("*").alias("n"))
     entries = counts.join(dictionary.select("word", "translation"), "word")
     placed = lookup(split, entries, "word", F.concat_ws(":", row_id, "pos"), "n")
-    ordered = F.array_sort(F.collect_list(F.struct("pos", F.coalesce("translation", "word").alias("out"))))
-    return placed.groupBy(row_id).agg(
-        F.array_join(F.transform(ordered, lambda s: s["out"]), " ").alias("translation"),
-        F.count("*").alias("words"),
-        F.count("translation").alias("known_words"),
+    hits = placed.filter(F.col("translation").isNotNull()).groupBy(row_id).agg(
+        F.map_from_entries(F.collect_set(F.struct("pos", "translation"))).alias("_known")
+    )
+    joined = segments.select(row_id, text).join(hits, row_id, "left")
+    known = F.coalesce("_known", F.create_map().cast("map<int,string>"))
+    rows = joined.select(row_id, known.alias("_known"), F.coalesce(tx.tokens(F.lower(F.col(text))), F.array().cast("array<string>")).alias("_words"))
+    return rows.select(
+        row_id,
+        F.array_join(F.transform("_words", lambda w, i: F.coalesce(F.try_element_at("_known", i), w)), " ").alias("translation"),
+        F.size("_words").cast("long").alias("words"),
+        F.size("_known").cast("long").alias("known_words"),
     )

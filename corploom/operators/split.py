@@ -15,9 +15,10 @@ def exact_split(df: DataFrame, row_id: str, seed: int = 42, cuts: tuple[float, f
     """Split by rank in hash order with exact sizes floor(n * cut).
 
     No row is ranked against all others: a histogram over the first four hash
-    digits (65,536 bins at most) finds the bins holding the cut ranks, and only
-    those bins are sorted to read the two cut hashes. `df` is checkpointed (it is read
-    three times): pass ids and numbers, and join the texts where they are written.
+    digits (65,536 bins at most) finds the bins holding the cut ranks, a second one
+    splits these by the next four, and only what is left (n / 2**32 rows a cut) is
+    sorted to read the two cut hashes. `df` is checkpointed (it is read
+    several times): pass ids and numbers, and join the texts where they are written.
     """
     df = settled(df.withColumn("_h", tx.seeded_md5(row_id, seed=seed)))
     hashes = df.select(F.col("_h").alias("h"))
@@ -31,9 +32,20 @@ def exact_split(df: DataFrame, row_id: str, seed: int = 42, cuts: tuple[float, f
         .filter((F.col("r.k") >= F.col("before")) & (F.col("r.k") < F.col("before") + F.col("n")))
         .select("bin", "r.cut", (F.col("r.k") - F.col("before") + 1).alias("nth"))
     )
+    # The bins that hold the cuts are split once more by the next four digits.
+    finer = hashes.withColumn("bin", F.substring("h", 1, 4)).join(F.broadcast(cut_bins), "bin").withColumn("fine", F.substring("h", 1, 8))
+    within = Window.partitionBy("cut").orderBy("fine").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    fine_bins = (
+        finer.groupBy("cut", "nth", "fine")
+        .agg(F.count("*").alias("n"))
+        .withColumn("before", F.sum("n").over(within) - F.col("n"))
+        .filter((F.col("nth") > F.col("before")) & (F.col("nth") <= F.col("before") + F.col("n")))
+        .select("cut", "fine", (F.col("nth") - F.col("before")).alias("nth"))
+    )
     order = Window.partitionBy("cut").orderBy("h")
     cut_hashes = (
-        binned.join(F.broadcast(cut_bins), "bin")
+        hashes.withColumn("fine", F.substring("h", 1, 8))
+        .join(F.broadcast(fine_bins), "fine")
         .withColumn("rn", F.row_number().over(order))
         .filter(F.col("rn") == F.col("nth"))
         .agg(*[F.max(F.when(F.col("cut") == i, F.col("h"))).alias(f"t{i}") for i in range(len(cuts))])

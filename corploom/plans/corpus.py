@@ -119,7 +119,7 @@ FROM f WHERE chars >= 200 AND sh > 0.45"""
 
 
 def clean(spark: SparkSession, d: str) -> DataFrame:
-    return quality.clean_corpus(documents(spark, d), "text", "doc_id", SCRIPT)
+    return quality.clean_measures(documents(spark, d), "text", "doc_id", SCRIPT, "source")
 
 
 def quality_filter_keep(spark: SparkSession, d: str) -> DataFrame:
@@ -328,13 +328,11 @@ def provenance(spark: SparkSession, d: str) -> DataFrame:
         F.col("lang").alias("lang_source"),
         F.lit("unknown").alias("license"),
         "text",
+        "doc_id",
     )
-    return quality.provenance(docs, "text", RUN_DATE, "0.1.0").drop("text")
-
-
-PROVENANCE = rf"""
-SELECT 'https://example.org/' || source || '/' || doc_id AS url, regexp_extract(text, '^[^\n]*', 0) AS title, lang AS lang_source,
-  'unknown' AS license, '{RUN_DATE}' AS load_date, sha256(text) AS text_hash, '0.1.0' AS pipeline_version FROM documents"""
+    traced = quality.provenance(docs, "text", RUN_DATE, "0.1.0").drop("text")
+    judged = langid.identify(documents(spark, d), "doc_id", "text", "lang", _profiles(spark, d))
+    return traced.join(judged.select("doc_id", "lang_classifier"), "doc_id", "left").drop("doc_id")
 
 
 # ---- lines, rules, personal data -----------------------------------------
@@ -359,7 +357,7 @@ def boilerplate_removed(spark: SparkSession, d: str) -> DataFrame:
 BOILERPLATE_REMOVED = f"""
 WITH {_LINES}, c AS (SELECT *, count(*) OVER (PARTITION BY line) AS n FROM lines)
 SELECT doc_id, md5(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (n < 10), '')) AS kept_hash,
-  count(*) FILTER (n >= 10) AS lines_dropped FROM c GROUP BY doc_id"""
+  count(*) FILTER (n >= 10) AS lines_dropped FROM documents LEFT JOIN c USING (doc_id) GROUP BY doc_id"""
 
 
 def cleaning_rule_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -461,7 +459,7 @@ NEAR_DUPLICATES = f"""
 WITH RECURSIVE w AS (SELECT doc_id, source, regexp_extract_all(lower(text), '[{W}]+') AS w FROM documents),
 sh AS (SELECT doc_id, ('0x' || substr(md5(s), 1, 8))::BIGINT % {dedup.PRIME} AS h FROM (
   SELECT doc_id, unnest(list_transform(range(1, greatest(len(w) - {WIDTH - 1}, 1) + 1),
-    lambda i: array_to_string(w[i:i + {WIDTH - 1}], ' '))) AS s FROM w)),
+    lambda i: array_to_string(w[i:i + {WIDTH - 1}], ' '))) AS s FROM w WHERE len(w) > 0)),
 sig AS (SELECT doc_id, {_MINIMA} FROM sh GROUP BY doc_id),
 links AS (SELECT doc_id, unnest([{_KEYS}]) AS k FROM sig),
 hub AS (SELECT k, min(doc_id) AS lo FROM links GROUP BY k HAVING count(*) > 1),
@@ -503,6 +501,13 @@ ident AS (SELECT doc_id, lang, coalesce(CASE WHEN s1 - s2 < s1 * 0.1::DOUBLE THE
 LANGUAGE_ID = f"WITH {_LANGID} SELECT *, lang_classifier = lang AS agrees FROM ident"
 
 
+PROVENANCE = rf"""
+WITH {_LANGID}
+SELECT 'https://example.org/' || d.source || '/' || doc_id AS url, regexp_extract(d.text, '^[^\n]*', 0) AS title, d.lang AS lang_source,
+  i.lang_classifier, 'unknown' AS license, '{RUN_DATE}' AS load_date, sha256(d.text) AS text_hash, '0.1.0' AS pipeline_version
+FROM documents d LEFT JOIN (SELECT doc_id, lang_classifier FROM ident) i USING (doc_id)"""
+
+
 def monolingual_extract(spark: SparkSession, d: str) -> DataFrame:
     """Language filter, copies out, boilerplate out, length, then volume per source: one table per language."""
     docs = documents(spark, d)

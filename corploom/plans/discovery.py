@@ -92,7 +92,7 @@ def url_frontier(spark: SparkSession, d: str) -> DataFrame:
 
 _RESULTS = """
 firstp AS (SELECT page_id, query_no FROM (
-  SELECT page_id, row_number() OVER (PARTITION BY host ORDER BY page_id) - 1 AS query_no FROM anchors) WHERE query_no < 4),
+  SELECT page_id, row_number() OVER (PARTITION BY host ORDER BY page_id) - 1 AS query_no FROM anchors)),
 results AS (SELECT l.host, f.query_no, l.pos - 1 AS rank, l.url, l.label AS title,
   CASE WHEN lower(l.label) = 'the' THEN 'challenge' END AS error FROM links l JOIN firstp f USING (page_id))"""
 URL_FRONTIER = f"""
@@ -324,12 +324,12 @@ WITH {_OCR} SELECT doc_id, version, chars, script_letters, tokens_2plus, unique_
 
 
 def next_step(spark: SparkSession, d: str) -> DataFrame:
-    return recognition.next_step(_ocr(spark, d), "doc_id").drop("version")
+    return recognition.next_step(_ocr(spark, d), "doc_id")
 
 
 NEXT_STEP = f"""
-WITH {_OCR}, b AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY tokens_2plus DESC, weird) AS r FROM diag)
-SELECT doc_id, tokens_2plus, CASE WHEN tokens_2plus < 20 THEN '{recognition.STEP_NEW_SCAN}' WHEN weird > 0.1 THEN '{recognition.STEP_PREPROCESS}'
+WITH {_OCR}, b AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY tokens_2plus DESC, weird, version DESC) AS r FROM diag)
+SELECT doc_id, version, tokens_2plus, CASE WHEN tokens_2plus < 20 THEN '{recognition.STEP_NEW_SCAN}' WHEN weird > 0.1 THEN '{recognition.STEP_PREPROCESS}'
   ELSE '{recognition.STEP_SAMPLE}' END AS next_human_step FROM b WHERE r = 1"""
 
 

@@ -394,6 +394,7 @@ def _answers(spark: SparkSession, d: str) -> DataFrame:
         F.when(F.col("quality") == 1, "parallel_corpus").otherwise("not_parallel_broad_multilingual").alias("label"),
         F.when(F.length("text") > 1000, "high").otherwise("low").alias("confidence"),
         F.col("lang").alias("reason"),
+        F.substring("text", 1, 40).alias("evidence"),
         (F.col("quality") == 0).alias("needs_human_review"),
     )
     return labelled.select("doc_id", F.when(F.col("toxic") == 1, F.col("text")).otherwise(F.to_json(answer)).alias("raw"))
@@ -408,7 +409,8 @@ dec AS (
   SELECT doc_id::VARCHAR AS dataset_id,
     CASE WHEN toxic = 1 THEN 'llm_unparsed' WHEN quality = 1 THEN 'parallel_corpus' ELSE 'not_parallel_broad_multilingual' END AS label,
     CASE WHEN toxic = 1 THEN '' WHEN length(text) > 1000 THEN 'high' ELSE 'low' END AS confidence,
-    CASE WHEN toxic = 1 THEN '' ELSE lang END AS reason, toxic = 1 OR quality = 0 AS needs_human_review,
+    CASE WHEN toxic = 1 THEN '' ELSE lang END AS reason,
+    CASE WHEN toxic = 1 THEN '' ELSE substr(text, 1, 40) END AS evidence, toxic = 1 OR quality = 0 AS needs_human_review,
     CASE WHEN toxic = 1 THEN text END AS raw_answer
   FROM labels JOIN documents USING (doc_id))"""
 PARSED_DECISIONS = f"WITH {DECISIONS_SQL} SELECT * FROM dec"

@@ -19,7 +19,7 @@ def frequency_dictionary(spark: SparkSession, d: str) -> DataFrame:
 
 
 _WORDS = f"words AS (SELECT doc_id, source, lang, unnest(regexp_extract_all(lower(text), '[{LW}]{{3,}}')) AS word FROM documents)"
-_FREQ = f"{_WORDS}, freq AS (SELECT word, count(*) AS count FROM words GROUP BY word)"
+_FREQ = f"{_WORDS}, freq AS MATERIALIZED (SELECT word, count(*) AS count FROM words GROUP BY word)"
 FREQUENCY_DICTIONARY = f"WITH {_FREQ} SELECT * FROM freq"
 
 
@@ -62,6 +62,9 @@ typos AS (SELECT gold, count, CASE WHEN n < 4 THEN gold
 TYPOS = f"WITH {_TYPOS} SELECT gold, count, typo FROM typos"
 
 
+_EVERY_TYPO = _TYPOS.replace("(SELECT * FROM top ORDER BY count DESC, word LIMIT 40)", "freq")
+
+
 def _suggested(spark: SparkSession, d: str) -> DataFrame:
     return spell.evaluate(spell.suggest(typos(spark, d), _top(spark, d)))
 
@@ -102,20 +105,23 @@ SELECT count(*) AS words, round(avg(top1_correct::INT), 6) AS top1_accuracy, rou
 
 
 def detection_eval(spark: SparkSession, d: str) -> DataFrame:
-    """Does "not in the dictionary" find the planted errors? Clean words are judged too."""
-    planted = typos(spark, d)
+    """Does "not in the dictionary" find errors planted in every word, rare ones apart? Clean words are judged too."""
+    freq = frequency_dictionary(spark, d)
+    gold = freq.select(F.col("word").alias("gold"), "count")
+    planted = spell.with_typos(gold, spell.alphabet(_top(spark, d)))
     judged = planted.select(F.col("typo").alias("word"), "count", (F.col("typo") != F.col("gold")).alias("truth")).unionByName(
         planted.select(F.col("gold").alias("word"), "count", F.lit(False).alias("truth"))
     )
-    known = _top(spark, d).select("word", F.lit(True).alias("known"))
+    known = freq.filter("count > 1").select("word", F.lit(True).alias("known"))
     flagged = judged.join(known, "word", "left").withColumn("guess", F.col("known").isNull())
-    banded = flagged.withColumn("band", F.when(F.length("word") <= 4, "short").otherwise("long"))
+    banded = flagged.withColumn("band", spell.frequency_band(F.col("count")))
     return spell.detection_scores(banded, "truth", "guess", "band")
 
 
 DETECTION_EVAL = f"""
-WITH {_TYPOS}, j AS (SELECT typo AS word, typo <> gold AS truth FROM typos UNION ALL SELECT gold, FALSE FROM typos),
-f AS (SELECT CASE WHEN length(word) <= 4 THEN 'short' ELSE 'long' END AS band, truth, word NOT IN (SELECT word FROM top) AS guess FROM j)
+WITH {_EVERY_TYPO}, j AS (SELECT typo AS word, count, typo <> gold AS truth FROM typos UNION ALL SELECT gold, count, FALSE FROM typos),
+kn AS (SELECT word, TRUE AS known FROM freq WHERE count > 1),
+f AS (SELECT CASE WHEN count = 1 THEN 'once' WHEN count <= 5 THEN 'rare' ELSE 'common' END AS band, truth, known IS NULL AS guess FROM j LEFT JOIN kn USING (word))
 SELECT band, count(*) FILTER (truth AND guess) AS true_positives, count(*) FILTER (NOT truth AND guess) AS false_positives,
   count(*) FILTER (truth AND NOT guess) AS false_negatives,
   round(count(*) FILTER (truth AND guess) / nullif(count(*) FILTER (guess), 0)::DOUBLE, 6) AS precision,
@@ -130,14 +136,16 @@ def _word_list(spark: SparkSession, d: str) -> DataFrame:
 
 
 def wordlist_sources(spark: SparkSession, d: str) -> DataFrame:
-    return _word_list(spark, d).select("word", "count", "source_count", "status", "foreign")
+    return _word_list(spark, d).select("word", "count", "source_count", "status", "foreign", "notes")
 
 
 WORDLIST_SOURCES = f"""
 WITH {_WORDS}, dom AS (SELECT word FROM words WHERE lang = 'en' GROUP BY word HAVING count(*) >= 5),
 l AS (SELECT word, count(*) AS count, count(DISTINCT source) AS source_count FROM words GROUP BY word)
 SELECT l.*, dom.word IS NOT NULL AS foreign,
-  CASE WHEN dom.word IS NULL AND source_count >= 2 THEN 'accepted' ELSE 'unsure' END AS status FROM l LEFT JOIN dom USING (word)"""
+  CASE WHEN dom.word IS NOT NULL AND source_count < 2 THEN 'reject' WHEN dom.word IS NULL AND source_count >= 2 THEN 'accepted' ELSE 'unsure' END AS status,
+  concat_ws('; ', CASE WHEN dom.word IS NOT NULL THEN 'frequent in the dominant language' END, CASE WHEN source_count < 2 THEN 'too few sources' END) AS notes
+FROM l LEFT JOIN dom USING (word)"""
 
 
 def unknown_words(spark: SparkSession, d: str) -> DataFrame:
@@ -152,11 +160,11 @@ def unknown_words(spark: SparkSession, d: str) -> DataFrame:
 _DEL = "list_distinct([word] || list_transform(range(1, length(word) + 1), lambda i: substr(word, 1, i - 1) || substr(word, i + 1)))"
 UNKNOWN_WORDS = f"""
 WITH {_FREQ},
-acc AS (SELECT word, count(*) AS n FROM words WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)
+acc AS MATERIALIZED (SELECT word, count(*) AS n FROM words WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)
   GROUP BY word HAVING count(DISTINCT source) >= 2),
-unk AS (SELECT * FROM freq WHERE word NOT IN (SELECT word FROM acc)),
+unk AS MATERIALIZED (SELECT * FROM freq ANTI JOIN acc USING (word)),
 uf AS (SELECT word, unnest({_DEL}) AS form FROM unk), af AS (SELECT word AS cand, n, unnest({_DEL}) AS form FROM acc),
-p AS (SELECT DISTINCT word, cand, n FROM uf JOIN af USING (form)),
+p AS MATERIALIZED (SELECT DISTINCT word, cand, n FROM uf JOIN af USING (form)),
 ok AS (SELECT * FROM p WHERE levenshtein({_ASCII.format('word')}, {_ASCII.format('cand')}) <= 1),
 r AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY n DESC, cand) AS rk FROM ok),
 b AS (SELECT word, string_agg(cand, '; ' ORDER BY rk) AS candidates FROM r WHERE rk <= 3 GROUP BY word)
@@ -351,8 +359,8 @@ WITH {_FREQ}, v AS (SELECT f.word, s.word AS translation FROM freq f JOIN freq s
   WHERE s.word <> f.word AND s.count > f.count),
 t AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos
   FROM (SELECT doc_id, regexp_extract_all(lower(text), '[{W}]+') AS w FROM documents))
-SELECT doc_id, md5(string_agg(coalesce(translation, t.word), ' ' ORDER BY pos)) AS translation_hash, count(*) AS words,
-  count(translation) AS known_words FROM t LEFT JOIN v ON v.word = t.word GROUP BY doc_id"""
+SELECT doc_id, md5(coalesce(string_agg(coalesce(translation, t.word), ' ' ORDER BY pos), '')) AS translation_hash, count(t.word) AS words,
+  count(translation) AS known_words FROM documents LEFT JOIN t USING (doc_id) LEFT JOIN v ON v.word = t.word GROUP BY doc_id"""
 
 
 def dictionary_coverage(spark: SparkSession, d: str) -> DataFrame:

@@ -171,12 +171,11 @@ def host_pages(spark: SparkSession, folder: str) -> DataFrame:
     return spread(load(spark, folder, "pages"), "page_id").withColumn("host", urls.host_of(F.col("url")))
 
 
-def search_results(pages: DataFrame, queries: int = 4) -> DataFrame:
-    """Search answers per host: its first pages stand for the queries, their links for the results."""
+def search_results(pages: DataFrame) -> DataFrame:
+    """Search answers per host: its pages stand for the queries, their links for the results."""
     order = F.row_number().over(Window.partitionBy("host").orderBy("page_id"))
-    first = pages.select("page_id", "host").withColumn("nth", order).filter(F.col("nth") <= queries)
-    asked = pages.drop("host").join(first.select("page_id", "host", (F.col("nth") - 1).alias("query_no")), "page_id")
-    links = pg.page_links(asked, ["host", "query_no", "page_id"], "url", "html")
+    asked = pages.select("page_id", (order - 1).alias("query_no"))
+    links = pg.page_links(pages, ["host", "page_id"], "url", "html").join(asked, "page_id")
     return links.select(
         "host",
         "query_no",

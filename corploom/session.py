@@ -6,6 +6,9 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Set by local_session for tests and the bench, whose tables are files of a single row group.
+LOCAL_SPREAD = "spark.corploom.localSpread"
+
 
 def local_session(cpus: int | str = 8, app: str = "corploom", memory: str = "12g") -> SparkSession:
     """A single-JVM session for tests and the bench; a cluster brings its own."""
@@ -17,14 +20,17 @@ def local_session(cpus: int | str = 8, app: str = "corploom", memory: str = "12g
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config(LOCAL_SPREAD, "true")
         .getOrCreate()
     )
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give every core a share of a table stored in too few splits; others pass untouched."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    """In local sessions alone, give every core a share of a table that is one split; on a cluster, nothing."""
+    if df.sparkSession.conf.get(LOCAL_SPREAD, "false") != "true":
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

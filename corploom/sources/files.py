@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 JSONL_SCHEMA = "id string, source string, text string, metadata map<string, string>"
 METADATA_SCHEMA = "field string, value string"
+# Scope, sources and caveat of the inventory.
 SCOPE = "Initial course inventory: major living languages of peoples of Russia, no dialect-level coverage."
 SOURCES = "OPUS API; Hugging Face dataset API."
 CAVEAT = "Counts are API snapshots and need linguistic/community review before publication."
@@ -28,7 +29,7 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV export: arrays are joined by '; ' as a CSV has no lists. Parquet stays the stored form."""
     flat = [
-        F.array_join(f.name, "; ").alias(f.name) if isinstance(f.dataType, T.ArrayType) else F.col(f.name)
+        F.array_join(F.col(f.name).cast("array<string>"), "; ").alias(f.name) if isinstance(f.dataType, T.ArrayType) else F.col(f.name)
         for f in df.schema.fields
     ]
     df.select(*flat).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
@@ -48,19 +49,21 @@ def write_text(df: DataFrame, column: str, path: str) -> None:
 
 
 def read_or_else(spark: SparkSession, path: str, fallback: DataFrame) -> DataFrame:
-    """The table at `path`, or the fallback (same columns) where there is none."""
+    """The table at `path`, or the fallback (same columns) where there is none; any other fault is raised."""
     try:
         return spark.read.parquet(path).select(*fallback.columns)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return fallback
 
 
 def read_package_files(spark: SparkSession, path: str) -> DataFrame:
-    """(package, name, content): whole files, the package being the folder they lie in."""
+    """(package, name, content): whole files, the package being the path of the folder they lie in."""
     whole = spark.read.text(path, wholetext=True)
     parts = F.split(F.col("_metadata.file_path"), "/")
     return whole.select(
-        F.url_decode(F.element_at(parts, -2)).alias("package"),
+        F.url_decode(F.array_join(F.slice(parts, F.lit(1), F.size(parts) - 1), "/")).alias("package"),
         F.url_decode(F.element_at(parts, -1)).alias("name"),
         F.col("value").alias("content"),
     )

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from corploom.functions import text as tx
 from corploom.operators import quality
 from corploom.sources.files import read_or_else
 
@@ -26,7 +25,7 @@ def refresh_texts(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         clean = quality.clean_corpus(batch, "text", "doc_id", script)
-        clean = clean.filter("NOT duplicate").withColumn("text_hash", tx.text_hash(F.col("text_clean")))
+        clean = clean.filter("NOT duplicate")
         empty = clean.select("text_hash", F.lit(0).cast("long").alias("batch")).limit(0)
         known = read_or_else(spark, table, empty).filter(F.col("batch") != batch_id).select("text_hash").distinct()
         fresh = clean.join(known, "text_hash", "left_anti").withColumn("batch", F.lit(batch_id).cast("long"))

@@ -1,8 +1,12 @@
 """Operators on small fixtures, and brute-force checks where an index or a split join does the work."""
 
 import itertools
+import math
+import random
 
 import numpy as np
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from corploom.functions import text as tx
@@ -330,7 +334,8 @@ def test_files_round_trip(spark, tmp_path):
     folder = tmp_path / "packages" / "p one"
     folder.mkdir(parents=True)
     (folder / "README.md").write_text("привет\nмир", encoding="utf-8")
-    assert [tuple(r) for r in files.read_package_files(spark, f"{tmp_path}/packages/*/*").collect()] == [("p one", "README.md", "привет\nмир")]
+    found = files.read_package_files(spark, f"{tmp_path}/packages/*/*").collect()
+    assert [(r["package"].removeprefix("file:"), *tuple(r)[1:]) for r in found] == [(str(folder), "README.md", "привет\nмир")]
     assert files.read_or_else(spark, f"{tmp_path}/absent", df).count() == 1
 
 
@@ -356,3 +361,79 @@ def test_refresh_stores_each_text_once(spark, tmp_path):
     frame(spark, [(3, "раз", "ru", "s", 3), (4, "два", "ru", "s", 3)], schema).write.mode("append").parquet(landing)
     refresh_texts(spark, landing, table, state, tx.CYRILLIC).awaitTermination(120)
     assert sorted(r["doc_id"] for r in spark.read.parquet(table).collect()) == [1, 4]
+
+
+# --- long chains, kept rows, silent answers ----------------------------------------------------
+
+
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_chains_of_two_thousand_rows_take_few_rounds(spark, monkeypatch, shuffled):
+    from corploom.operators import components as module
+
+    n = 2000
+    ids = list(range(n))
+    if shuffled:
+        random.Random(3).shuffle(ids)
+    else:
+        ids = [*range(1, n), 0]
+    rounds = []
+    plain = module._mark
+    monkeypatch.setattr(module, "_mark", lambda state: rounds.append(1) or plain(state))
+    edges = spark.createDataFrame(list(zip(ids, ids[1:], strict=False)), "a long, b long").coalesce(2)
+    labels = module.components(edges, "a", "b").collect()
+    assert len(labels) == n and {r["label"] for r in labels} == {0}
+    assert len(rounds) <= 2 * math.ceil(math.log2(n))
+
+
+def test_rows_without_lines_or_words_keep_their_row(spark):
+    rows = [(1, None), (2, ""), (3, " \n "), (4, "same\nown"), (5, "same\n\nother")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r["doc_id"]: (r["text_kept"], r["lines_dropped"]) for r in dedup.drop_boilerplate(df, "text", "doc_id", 2).collect()}
+    assert kept == {1: ("", 0), 2: ("", 0), 3: ("", 0), 4: ("own", 1), 5: ("other", 1)}
+    pairs = spark.createDataFrame([("same", "gleich")], "word string, translation string")
+    out = {r["doc_id"]: tuple(r)[1:] for r in spell.translate_by_dictionary(df, "text", "doc_id", pairs).collect()}
+    assert out == {1: ("", 0, 0), 2: ("", 0, 0), 3: ("", 0, 0), 4: ("gleich own", 2, 1), 5: ("gleich other", 2, 1)}
+
+
+def test_texts_without_words_are_no_group(spark):
+    df = spark.createDataFrame([(1, "...", "a"), (2, "!!", "a"), (3, "one two three four", "a"), (4, "one two three four", "b")], "doc_id long, text string, source string")
+    assert {r["doc_id"] for r in dedup.near_duplicates(df, "text", "doc_id", "source").collect()} == {3, 4}
+
+
+def test_href_is_the_attribute_of_that_name(spark):
+    page = '<a href="/x" data-href="/t">A</a><a data-href="/t" href="/y">B</a><a class="c" href=/z>C</a>'
+    df = spark.createDataFrame([(1, "http://h.org/", page)], "page_id int, url string, html string")
+    assert [r["url"] for r in pages.page_links(df, ["page_id"], "url", "html").orderBy("pos").collect()] == [
+        "http://h.org/x", "http://h.org/y", "http://h.org/z",
+    ]
+
+
+def test_only_a_missing_table_falls_back(spark, tmp_path):
+    fallback = spark.createDataFrame([(1,)], "a int")
+    assert files.read_or_else(spark, f"{tmp_path}/none", fallback).count() == 1
+    spark.createDataFrame([(1,)], "b int").write.parquet(f"{tmp_path}/t")
+    with pytest.raises(AnalysisException):
+        files.read_or_else(spark, f"{tmp_path}/t", fallback)
+
+
+def test_repeated_package_files_do_not_stop_the_audit(spark):
+    df = spark.createDataFrame([("p", "README.md", "x" * 50), ("p", "README.md", "y"), ("q", "notes.txt", "z")], "package string, name string, content string")
+    seen = {r["package"]: r["chars"] for r in packages.overview(df).collect()}
+    assert seen["p"]["README.md"] == 50 and (seen["q"] is None or seen["q"].get("README.md") is None)
+
+
+def test_equal_versions_are_decided_by_order(spark):
+    df = spark.createDataFrame([(1, "preprocessed", 30, 0.0), (1, "raw", 30, 0.0)], "doc_id int, version string, tokens_2plus int, weird_char_share double")
+    assert recognition.next_step(df, "doc_id").first()["version"] == "raw"
+
+
+def test_word_statuses(spark):
+    listed = spark.createDataFrame([("a", 5, 2), ("b", 5, 1), ("c", 5, 2), ("d", 5, 1)], "word string, count long, source_count long")
+    foreign = spark.createDataFrame([("c",), ("d",)], "word string")
+    assert {r["word"]: r["status"] for r in spell.with_status(listed, foreign).collect()} == {"a": "accepted", "b": "unsure", "c": "unsure", "d": "reject"}
+
+
+def test_a_word_of_100000_letters_has_no_candidates(spark):
+    unknown = spark.createDataFrame([("a" * 100_000,), ("katz",)], "word string")
+    vocab = spark.createDataFrame([("katze", 3)], "word string, count long")
+    assert [tuple(r) for r in spell.near_words(unknown, vocab).collect()] == [("katz", ["katze"])]
