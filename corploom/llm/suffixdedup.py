@@ -95,9 +95,26 @@ def core_hashes(docs: DataFrame, text: str, length: int) -> DataFrame:
     return docs.select(text).mapInArrow(scan, "h long")
 
 
-def surroundings(docs: DataFrame, key: str, text: str, length: int, known: Broadcast, whole: bool) -> DataFrame:
-    """(_key, h, around, start, stop) and, with `whole`, content: for each piece whose core may be
-    repeated, the bytes of all its windows, and a hash of them."""
+def place_number(keys: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    return W.finish(keys.view(np.uint64) + starts.astype(np.uint64) * np.uint64(W._BASE))
+
+
+def place_filter(places: DataFrame) -> Broadcast:
+    """A bit filter of the places (_key, start)."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, starts = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(W.signed(place_number(keys, starts)))], ["place"])
+
+    return bit_filter(places.select("_key", "start").mapInArrow(scan, "place long"), "place")
+
+
+def surroundings(docs: DataFrame, key: str, text: str, length: int, known: Broadcast, shown: Broadcast | None = None) -> DataFrame:
+    """(_key, h, around, start, stop) for each piece whose core may be repeated: the range of the
+    bytes of all its windows, and a hash of them. With `shown`, only at places that may be in
+    that filter, and with the bytes as content."""
+    whole = shown is not None
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,6 +125,10 @@ def surroundings(docs: DataFrame, key: str, text: str, length: int, known: Broad
                 if not len(start):
                     continue
                 owner = np.searchsorted(offsets, start, "right") - 1
+                if whole:
+                    keys = part.column(0).to_numpy(zero_copy_only=False)[owner]
+                    hit = passes(shown.value, place_number(keys, start - offsets[owner]))
+                    start, n, core, h, owner = start[hit], n[hit], core[hit], h[hit], owner[hit]
                 stop = start + n - 1 + length
                 contents = [values[a:b].tobytes() for a, b in zip(start, stop, strict=True)]
                 around = [
@@ -229,7 +250,7 @@ def repeated_ranges(docs: DataFrame, key: str, text: str, length: int) -> DataFr
     """
     seen = core_hashes(docs, text, length).groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
     known = bit_filter(seen, "h")
-    placed = settled(surroundings(docs, key, text, length, known, False))
+    placed = settled(surroundings(docs, key, text, length, known))
     counted = settled(
         placed.groupBy("h", "around")
         .agg(F.count("*").alias("times"), F.min(F.struct("_key", "start", "stop")).alias("first"))
@@ -239,9 +260,9 @@ def repeated_ranges(docs: DataFrame, key: str, text: str, length: int) -> DataFr
     known_again = settled(counted.filter("times > 1").select("h", "around"))
     same = placed.join(known_again, ["h", "around"])
     whole = same.filter(F.col("stop") - F.col("start") >= length).select("_key", F.col("start").alias("_from"), F.col("stop").alias("_to"))
-    shown = split.select("h", "around", "kinds", F.col("first._key").alias("_key"), F.col("first.start").alias("start"))
+    shown = settled(split.select("h", "around", "kinds", F.col("first._key").alias("_key"), F.col("first.start").alias("start")))
     content = settled(
-        surroundings(docs, key, text, length, known, True)
+        surroundings(docs, key, text, length, known, place_filter(shown))
         .join(shown, ["h", "around", "_key", "start"])
         .select("h", "kinds", "_key", "start", "stop", "content")
         .dropDuplicates(["h", "_key", "start"])
