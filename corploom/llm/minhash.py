@@ -22,7 +22,9 @@ BANDS, ROWS = 40, 5
 MANTISSA = 10
 # Pairs whose estimate is this far below the threshold (7 standard errors) aren't confirmed.
 MARGIN = 0.2
-_TEXT_SLICE = 1 << 20
+# Sets on each side of a block that is compared in full.
+BLOCK_SETS = 1000
+_TEXT_SLICE = 1 << 18
 _SET_ROWS = 4096
 
 _generator = np.random.default_rng(9)
@@ -153,56 +155,102 @@ def labelled(rows: DataFrame, labels: DataFrame | None, column: str, out: str) -
     return rows.join(known, column, "left").withColumn(out, F.coalesce(out, column))
 
 
+def block_links(rest: list[tuple], others: list[tuple], percent: int) -> list[tuple[int, int]]:
+    """For each (set, label, shingles) of `rest`, a linked set of each other label among `others`, on full sets."""
+    tokens = np.concatenate([s for _, _, s in others])
+    sizes = np.array([len(s) for _, _, s in others])
+    labels = np.array([label for _, label, _ in others])
+    order = np.argsort(tokens, kind="stable")
+    tokens, owner = tokens[order], np.repeat(np.arange(len(others)), sizes)[order]
+    found = []
+    for number, label, s in rest:
+        low, high = np.searchsorted(tokens, s, "left"), np.searchsorted(tokens, s, "right")
+        n = high - low
+        at = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        common = np.bincount(owner[at], minlength=len(others))
+        linked = np.flatnonzero((100 * common >= percent * (len(s) + sizes - common)) & (labels != label))
+        _, first = np.unique(labels[linked], return_index=True)
+        found += [(number, others[i][0]) for i in linked[first].tolist()]
+    return found
+
+
+def compared(groups: DataFrame, docs: DataFrame, text: str, width: int, percent: int) -> DataFrame:
+    """Links (a, b) between sets of different labels inside each group; `groups` has (hub, set, label).
+
+    A group's sets outside its largest label meet all of its sets, in blocks of at most BLOCK_SETS
+    a side, each block a task's unit of work. No pair becomes a row unless it is a link that joins
+    two labels, and one link from a set to a label is enough.
+    """
+    full = settled(full_sets(docs, text, width, bit_filter(groups.select("set").distinct(), "set")))
+    counts = groups.groupBy("hub", "label").agg(F.count("*").alias("n"))
+    main = counts.groupBy("hub").agg(
+        F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("all"), (F.sum("n") - F.max("n")).alias("rest"),
+        F.count("*").alias("labels"),
+    ).filter("labels > 1")
+    dealt = lambda n: F.pmod(F.xxhash64("set"), F.ceil(F.col(n) / BLOCK_SETS)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), (F.ceil(F.col(n) / BLOCK_SETS) - 1).cast("int")))
+    rows = groups.join(main, "hub")
+    asked = rows.filter("label <> main").withColumn("i", dealt("rest")).withColumn("j", every("all")).withColumn("asks", F.lit(True))
+    others = rows.withColumn("j", dealt("all")).withColumn("i", every("rest")).withColumn("asks", F.lit(False))
+    columns = ["hub", "i", "j", "asks", "set", "label"]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[bool, list[tuple]] = {True: [], False: []}
+        block = None
+
+        def done() -> pa.RecordBatch:
+            links = block_links(held[True], held[False], percent) if held[True] and held[False] else []
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+        for batch in batches:
+            for r in batch.to_pylist():
+                if (r["hub"], r["i"], r["j"]) != block:
+                    yield done()
+                    held, block = {True: [], False: []}, (r["hub"], r["i"], r["j"])
+                held[r["asks"]].append((r["set"], r["label"], np.frombuffer(r["shingles"], np.uint64)))
+        yield done()
+
+    dealt_rows = asked.select(*columns).unionByName(others.select(*columns)).join(full, "set")
+    keys = ["hub", "i", "j"]
+    return dealt_rows.repartition(*keys).sortWithinPartitions(*keys).select(*columns, "shingles").mapInArrow(scan, "a long, b long")
+
+
 def linked_sets(docs: DataFrame, sets: DataFrame, text: str, width: int, percent: int) -> DataFrame | None:
     """(id, label) of the sets that have links; None without any.
 
-    Sets of a bucket are first tied to the bucket's least set, so a bucket of m gives m - 1
-    pairs. 1. The best estimated pair of each set is confirmed. 2. So is the best pair between
-    any two of the groups found that such pairs still join. 3. What then remains in a shared
-    bucket but in different groups is confirmed pair by pair. Pairs inside one group can't
-    change it, so no link between groups is lost, and a hot bucket whose sets are alike is
-    one group before step 3. Nothing is capped.
+    The hub of a bucket is its set with most neighbours over all buckets, such as the text that
+    others are copies of; a bucket of m sets gives m - 1 pairs with its hub. 1. The best estimated
+    pair of each set is confirmed. 2. Buckets that still hold several groups are compared in
+    full, by hub, in blocks. Pairs inside one group can't change it, so no link between groups
+    is lost, and nothing is capped.
     """
-    percent_floor = percent / 100 - MARGIN
+    floor = percent / 100 - MARGIN
     width_bytes = 2 * ROWS
     keys = F.array(*[F.xxhash64(F.lit(i), F.substring("registers", 1 + i * width_bytes, width_bytes)) for i in range(BANDS)])
     bands = sets.select("set", F.explode(keys).alias("band"))
-    buckets = bands.groupBy("band").agg(F.min("set").alias("hub"), F.count("*").alias("size")).filter("size > 1")
-    members = settled(bands.join(buckets, "band").select("band", "set", "hub", "size"))
+    buckets = bands.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
+    shared = settled(bands.join(buckets, "band").select("band", "set", "size"))
+    known = shared.groupBy("set").agg(F.sum("size").alias("known"))
+    hubs = shared.join(known, "set").groupBy("band").agg(F.max_by("set", F.struct("known", "set")).alias("hub"))
+    members = settled(shared.join(hubs, "band").select("band", "set", "hub", "size"))
     stars = members.filter("set <> hub").select(F.col("set").alias("a"), F.col("hub").alias("b")).distinct()
-    scored = settled(estimated(stars, sets).filter(F.col("estimate") >= percent_floor))
-    best = scored.groupBy("a").agg(F.max_by("b", F.struct("estimate", "b")).alias("b"))
-    edges = settled(confirmed(settled(best), docs, text, width, percent))
+    scored = settled(estimated(stars, sets).filter(F.col("estimate") >= floor))
+    best = settled(scored.groupBy("a").agg(F.max_by("b", F.struct("estimate", "b")).alias("b")))
+    edges = settled(confirmed(best, docs, text, width, percent))
     labels = settled(components(edges, "a", "b"))
 
-    across = labelled(labelled(scored, labels, "a", "la"), labels, "b", "lb").filter("la <> lb")
-    joined = settled(
-        across.groupBy(F.least("la", "lb").alias("l1"), F.greatest("la", "lb").alias("l2"))
-        .agg(F.max_by(F.struct("a", "b"), F.struct("estimate", "a", "b")).alias("p"))
-        .select("p.a", "p.b")
-        .join(best, ["a", "b"], "left_anti")
-    )
-    tested = best
-    if not joined.isEmpty():
-        edges = settled(edges.unionByName(confirmed(joined, docs, text, width, percent)))
-        labels = settled(components(edges, "a", "b"))
-        tested = tested.unionByName(joined)
-
-    named = labelled(members.filter("size > 2").select("band", "set"), labels, "set", "label")
-    groups = named.groupBy("band", "label").agg(F.count("*").alias("n"))
-    mixed = groups.groupBy("band").agg(F.count("*").alias("groups"), F.max_by("label", F.struct("n", "label")).alias("main")).filter("groups > 1")
-    inside = settled(named.join(mixed.select("band", "main"), "band"))
-    rest = inside.filter("label <> main").select("band", F.col("set").alias("a"), F.col("label").alias("la"))
-    others = inside.select("band", F.col("set").alias("b"), F.col("label").alias("lb"), "main")
-    pairs = rest.join(others, "band").filter((F.col("la") != F.col("lb")) & ((F.col("lb") == F.col("main")) | (F.col("a") < F.col("b"))))
-    both = tested.unionByName(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    left = pairs.select("a", "b").distinct().join(both, ["a", "b"], "left_anti")
-    last = settled(estimated(left, sets).filter(F.col("estimate") >= percent_floor).select("a", "b"))
-    if not last.isEmpty():
-        more = settled(confirmed(last, docs, text, width, percent))
+    wide = labelled(members.filter("size > 2"), labels, "set", "label")
+    mixed = wide.groupBy("band").agg(F.min("label").alias("l1"), F.max("label").alias("l2")).filter("l1 <> l2").select("band")
+    open_pairs = scored.select("a", "b").join(best, ["a", "b"], "left_anti").select(F.col("b").alias("hub"), F.col("a").alias("set"))
+    loose = wide.join(mixed, "band").select("hub", "set").unionByName(open_pairs).distinct()
+    loose = loose.unionByName(loose.select("hub", F.col("hub").alias("set"))).distinct()
+    named = labelled(loose, labels, "set", "label")
+    several = named.groupBy("hub").agg(F.min("label").alias("l1"), F.max("label").alias("l2")).filter("l1 <> l2").select("hub")
+    groups = settled(named.join(several, "hub").select("hub", "set", "label"))
+    if not groups.isEmpty():
+        more = settled(compared(groups, docs, text, width, percent))
         if not more.isEmpty():
-            edges = edges.unionByName(more)
-            labels = settled(components(edges, "a", "b"))
+            labels = settled(components(edges.unionByName(more), "a", "b"))
     return labels
 
 
