@@ -103,6 +103,16 @@ s AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY query_no, rank) AS
 SELECT host, slot, query_no, rank, url, title FROM s WHERE slot <= 10"""
 
 
+def search_errors(spark: SparkSession, d: str) -> DataFrame:
+    """Error rows of the search answers, kept beside the results: (host, query type, query, rank, error)."""
+    results = tb.search_results(tb.host_pages(spark, d))
+    return results.filter(F.col("error").isNotNull()).select("host", F.lit("search").alias("query_type"), "query_no", "rank", "error")
+
+
+SEARCH_ERRORS = f"""
+WITH {_LINKS}, {_RESULTS} SELECT host, 'search' AS query_type, query_no, rank, error FROM results WHERE error IS NOT NULL"""
+
+
 def _classified(spark: SparkSession, d: str) -> DataFrame:
     raw = tb.host_pages(spark, d)
     found = pages.download_links(page_links(spark, d), ["page_id"])
@@ -482,7 +492,7 @@ UNION ALL SELECT package, 'data card without license' FROM files WHERE name = 'D
 UNION ALL SELECT package, 'report without test set' FROM files WHERE name = 'EVAL_REPORT.md' AND NOT regexp_matches(lower(content), 'test set|тестов')"""
 
 NAMES = [
-    "page_text", "page_links", "download_links", "unwrapped_urls", "url_frontier", "page_candidates", "page_labels",
+    "page_text", "page_links", "download_links", "unwrapped_urls", "url_frontier", "search_errors", "page_candidates", "page_labels",
     "discovery_report", "media_candidates", "corpus_slice", "align_shuffled", "align_best", "align_report", "align_topk",
     "mined_pairs", "segments", "ocr_diagnostics", "next_step", "transcript_stats", "review_tasks", "control_pages",
     "control_probe", "metadata_gate", "package_checks", "package_tasks", "package_status", "package_promises",

@@ -285,8 +285,12 @@ def inventory_metadata(spark: SparkSession, d: str) -> DataFrame:
 
 
 INVENTORY_METADATA = f"""
+WITH {_INV}
 SELECT 'scope' AS field, '{files.SCOPE}' AS value UNION ALL SELECT 'sources', '{files.SOURCES}'
-UNION ALL SELECT 'checked_at_utc', '{RUN_DATE}' UNION ALL SELECT 'caveat', '{files.CAVEAT}'"""
+UNION ALL SELECT 'checked_at_utc', '{RUN_DATE}' UNION ALL SELECT 'caveat', '{files.CAVEAT}'
+UNION ALL SELECT 'languages', count(*)::VARCHAR FROM inv
+UNION ALL SELECT 'with_parallel', (count(*) FILTER (opus_ru_parallel_pairs > 0))::VARCHAR FROM inv
+UNION ALL SELECT 'parallel_pairs', sum(opus_ru_parallel_pairs)::BIGINT::VARCHAR FROM inv"""
 
 
 def family_totals(spark: SparkSession, d: str) -> DataFrame:

@@ -94,6 +94,9 @@ def inventory_metadata(table: DataFrame) -> DataFrame:
         F.array(
             entry("scope", F.lit(SCOPE)), entry("sources", F.lit(SOURCES)),
             entry("checked_at_utc", checked), entry("caveat", F.lit(CAVEAT)),
+            entry("languages", F.count("*").cast("string")),
+            entry("with_parallel", F.count_if(F.col("opus_ru_parallel_pairs") > 0).cast("string")),
+            entry("parallel_pairs", F.coalesce(F.sum("opus_ru_parallel_pairs"), F.lit(0)).cast("string")),
         ).alias("m")
     )
     return one.select(F.inline("m"))

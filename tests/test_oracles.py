@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from corploom.plans import corpus, discovery, inventory, spelling
+from corploom.plans import corpus, discovery, inventory, spelling, storage
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
@@ -49,5 +49,5 @@ def test_entry_runs(spark):
 
 
 def test_every_query_of_the_library_has_an_oracle():
-    own = {name for plan in (corpus, inventory, discovery, spelling) for name in plan.QUERIES}
+    own = {name for plan in (corpus, inventory, discovery, spelling, storage) for name in plan.QUERIES}
     assert own <= set(contract.oracle_sql()) <= set(contract.queries())
