@@ -8,25 +8,33 @@ from pyspark.sql import functions as F
 from corploom.operators.lookup import settled
 
 
-def components(edges: DataFrame, left: str, right: str) -> DataFrame:
+# Edges that one task handles in a round; a short table is not dealt over every shuffle partition.
+TASK_EDGES = 200_000
+
+
+def components(edges: DataFrame, left: str, right: str, task_edges: int = TASK_EDGES) -> DataFrame:
     """(id, label) for every id in `edges`: the lowest id reachable from it.
 
     A round points the larger neighbours of each id to the least of its neighbourhood (large
     star), then its smaller ones and itself to the least of them (small star), until the edges
     are stars around the lowest ids; long chains shrink by halves. Minima are folded before
     the shuffle, hubs are split by the adaptive join, and each round is checkpointed. Rounds
-    have no fixed end: they stop when a round changes nothing.
+    have no fixed end: they stop when a round changes nothing. A round uses as many tasks as
+    its number of edges asks for, so the last short ones need no shuffle.
     """
     up = edges.select(F.greatest(left, right).alias("u"), F.least(left, right).alias("v"))
     state = settled(up.filter("u <> v").distinct())
     mark = _mark(state)
     while mark[0]:
+        tasks = -(-mark[0] // task_edges)
+        state = state.coalesce(tasks)
         both = state.unionByName(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        both = both.coalesce(tasks)
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")).coalesce(tasks)
+        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct().coalesce(tasks)
+        least = large.groupBy("u").agg(F.min("v").alias("m")).coalesce(tasks)
         inner = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        state = settled(inner.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        state = settled(inner.unionByName(least.select("u", F.col("m").alias("v"))).coalesce(tasks).distinct())
         before, mark = mark, _mark(state)
         if mark == before:
             break
