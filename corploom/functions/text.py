@@ -140,6 +140,12 @@ def as_int(value: Column) -> Column:
     )
 
 
+def bad_int(value: Column) -> Column:
+    """True where a value is there but is no whole number."""
+    text = F.coalesce(value.cast("string"), F.lit(""))
+    return (text != "") & value.try_cast("long").isNull()
+
+
 def sentences(text: Column) -> Column:
     """Segments ending in . ! ? or a line break, blanks dropped."""
     parts = F.split(text, r"(?<=[.!?…])\s+|\n+")

@@ -30,9 +30,13 @@ def is_monolingual(source: Column, target: Column, code: Column) -> Column:
 
 
 def corpora_summary(corpora: DataFrame, code: str, pos: str, pivot: str = "ru") -> DataFrame:
-    """Per language code: pairs, documents and a rendered list, for parallel and for mono rows."""
+    """Per language code: pairs, documents and a rendered list, for parallel and for mono rows.
+
+    A count that is no number adds nothing, and the list names it; `tx.bad_int` flags such rows.
+    """
     pairs, docs = tx.as_int(F.col("alignment_pairs")), tx.as_int(F.col("documents"))
-    item = F.concat(F.col("corpus"), F.lit(" ("), pairs.cast("string"), F.lit(")"))
+    shown = F.coalesce(pairs.cast("string"), F.concat(F.lit("no number: "), F.col("alignment_pairs").cast("string")))
+    item = F.concat(F.col("corpus"), F.lit(" ("), shown, F.lit(")"))
     parallel = F.coalesce(is_parallel(F.col("source"), F.col("target"), F.col(code), pivot), F.lit(False))
     mono = F.coalesce(is_monolingual(F.col("source"), F.col("target"), F.col(code)), F.lit(False))
 
@@ -346,13 +350,14 @@ def inventory(languages: DataFrame, corpora: DataFrame, cards: DataFrame, run_da
 
 
 def inventory_summary(table: DataFrame, languages: DataFrame) -> DataFrame:
+    """Languages known and checked by either source, with data, and with failed queries."""
     expected = languages.agg(F.count("*")).scalar()
     return table.agg(
         expected.alias("languages_total"),
-        F.count("*").alias("languages_checked"),
+        F.count_if(F.col("opus_checked") | F.col("hf_checked")).alias("languages_checked"),
         F.count_if(F.col("opus_ru_parallel_pairs") > 0).alias("with_opus_ru_parallel"),
         F.count_if(F.col("hf_dataset_count") > 0).alias("with_hf_candidates"),
-        (expected - F.count("*")).alias("errors"),
+        F.count_if(F.col("hf_query_attempts") > F.col("hf_query_successes")).alias("errors"),
     )
 
 

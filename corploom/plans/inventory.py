@@ -275,9 +275,9 @@ def inventory_summary(spark: SparkSession, d: str) -> DataFrame:
 
 INVENTORY_SUMMARY = f"""
 WITH {_INV}
-SELECT (SELECT count(*) FROM all_langs) AS languages_total, count(*) AS languages_checked,
+SELECT (SELECT count(*) FROM all_langs) AS languages_total, count(*) FILTER (opus_checked OR hf_checked) AS languages_checked,
   count(*) FILTER (opus_ru_parallel_pairs > 0) AS with_opus_ru_parallel, count(*) FILTER (hf_dataset_count > 0) AS with_hf_candidates,
-  0 AS errors FROM inv"""
+  count(*) FILTER (hf_query_attempts > hf_query_successes) AS errors FROM inv"""
 
 
 def inventory_metadata(spark: SparkSession, d: str) -> DataFrame:

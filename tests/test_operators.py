@@ -437,3 +437,12 @@ def test_a_word_of_100000_letters_has_no_candidates(spark):
     unknown = spark.createDataFrame([("a" * 100_000,), ("katz",)], "word string")
     vocab = spark.createDataFrame([("katze", 3)], "word string, count long")
     assert [tuple(r) for r in spell.near_words(unknown, vocab).collect()] == [("katz", ["katze"])]
+
+
+def test_counts_that_are_no_number_are_named(spark):
+    rows = [("de", 0, "A", "ru", "de", "12", "3"), ("de", 1, "B", "de", "ru", "many", "x"), ("de", 2, "C", "ru", "de", "", None)]
+    df = spark.createDataFrame(rows, "code string, pos int, corpus string, source string, target string, alignment_pairs string, documents string")
+    out = catalog.corpora_summary(df, "code", "pos").first()
+    assert (out["ru_parallel_pairs"], out["ru_parallel_documents"]) == (12, 3)
+    assert out["ru_parallel_corpora"] == "A (12); B (no number: many); C (0)"
+    assert [r[0] for r in df.orderBy("pos").select(tx.bad_int(F.col("alignment_pairs"))).collect()] == [False, True, False]
