@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corploom.functions import text as tx
 from corploom.operators import metrics, recognition, spell
-from corploom.plans.corpus import SP, W, _n
+from corploom.plans.corpus import SP, W
 from corploom.plans.tables import SCRIPT, documents, load
 from corploom.session import spread
 

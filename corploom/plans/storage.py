@@ -50,11 +50,12 @@ FROM landed WHERE NOT list_contains(tags, 'language:de')"""
 
 
 def landed_search(spark: SparkSession, d: str) -> DataFrame:
-    """Search hits out of one answer per document: its language, then its source."""
+    """Search hits out of landed files with one answer per document: its language, then its source."""
     hit = lambda c: F.struct(F.col(c).alias("title"), F.col("doc_id").alias("pageid"))
     found = F.struct(F.array(hit("lang"), hit("source")).alias("search"))
-    answers = documents(spark, d).select(F.to_json(F.struct(found.alias("query"))).alias("raw"))
-    return landed.search_hits(answers).select("pageid", "pos", "title")
+    path = shared_folder(spark, "answers")
+    files.write_text(documents(spark, d).select(F.to_json(F.struct(found.alias("query"))).alias("raw")), "raw", path)
+    return landed.search_hits(landed.read_answers(spark, path)).select("pageid", "pos", "title")
 
 
 LANDED_SEARCH = """

@@ -1,7 +1,6 @@
 """Column builders against plain Python on Cyrillic and awkward text."""
 
 import html
-import re
 import unicodedata
 from urllib.parse import quote, urljoin
 
