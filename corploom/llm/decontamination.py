@@ -43,7 +43,7 @@ def suffixes(texts: list[str], ids: list[list[str]], k: int) -> Suffixes:
     starts, ends, first = W.places(values, offsets, W.LETTERS)
     h = W.hashed(values, starts, ends, fold=True)
     found: dict[tuple, list[tuple[int, int]]] = {}
-    seeds = [np.zeros(1 << _SEED_BITS, bool) for _ in range(SEED + 1)]
+    seeds = [np.zeros(0, bool) for _ in range(SEED + 1)]
     for t in range(len(texts)):
         own = h[first[t] : first[t + 1]]
         if not len(own):
@@ -52,6 +52,8 @@ def suffixes(texts: list[str], ids: list[list[str]], k: int) -> Suffixes:
         for s in range(len(own) - depth + 1):
             found.setdefault(tuple(own[s : s + depth].tolist()), []).append((t, s))
         width = min(SEED, depth)
+        if not len(seeds[width]):
+            seeds[width] = np.zeros(1 << _SEED_BITS, bool)
         seeds[width][_seed_bits(own, width)] = True
     rows = np.zeros((len(found), k), np.uint64)
     depth = np.zeros(len(found), np.int64)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corploom.llm import words as W
-from corploom.llm.ranges import bit_filter, passes
+from corploom.llm.ranges import KEY_BITS, bit_filter, passes
 from corploom.llm.shared import settled
 from corploom.operators.components import components
 
@@ -131,7 +131,7 @@ def estimated(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def confirmed(pairs: DataFrame, docs: DataFrame, text: str, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) with 100 * intersection >= percent * union, on full sets."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
-    full = settled(full_sets(docs, text, width, bit_filter(ends, "set")))
+    full = settled(full_sets(docs, text, width, bit_filter(ends, "set", KEY_BITS)))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,7 +181,7 @@ def compared(groups: DataFrame, docs: DataFrame, text: str, width: int, percent:
     a side, each block a task's unit of work. No pair becomes a row unless it is a link that joins
     two labels, and one link from a set to a label is enough.
     """
-    full = settled(full_sets(docs, text, width, bit_filter(groups.select("set").distinct(), "set")))
+    full = settled(full_sets(docs, text, width, bit_filter(groups.select("set").distinct(), "set", KEY_BITS)))
     counts = groups.groupBy("hub", "label").agg(F.count("*").alias("n"))
     main = counts.groupBy("hub").agg(
         F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("all"), (F.sum("n") - F.max("n")).alias("rest"),

@@ -16,6 +16,8 @@ from corploom.llm.shared import settled
 # 2**27 bits are 16 MB for the driver and each worker, whatever the data. A fuller filter passes
 # more rows to the exact step behind it and never loses one.
 FILTER_BITS = 27
+# For filters of document keys and sets, of which there are far fewer: 2 MB.
+KEY_BITS = 24
 _PAGE_BITS = 12
 _SECOND = 0xD6E8FEB86659FD93
 
@@ -142,7 +144,7 @@ def without_keys(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
     compared with the keys themselves.
     """
     gone = settled(gone.filter(F.col(key).isNotNull()).select(F.col(key).alias("_gone"), F.xxhash64(key).alias("_h")).distinct())
-    known = bit_filter(gone.select("_h").distinct(), "_h")
+    known = bit_filter(gone.select("_h").distinct(), "_h", KEY_BITS)
     place = len(docs.columns)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
