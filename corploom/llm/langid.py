@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -13,8 +14,10 @@ from pyspark.sql import types as T
 
 from corploom.llm import words as W
 
-# Labelled rows that the weights are fitted on, about; document frequencies are counted over all.
+# Labelled rows that the weights are fitted on, about; languages and document frequencies are counted over all.
 SAMPLE_ROWS = 4000
+# However many languages share these rows, each has so many, about, or all that it has.
+LANGUAGE_ROWS = 50
 BUCKET_BITS = 15
 ORDERS = 3
 UNKNOWN = "und"
@@ -85,11 +88,38 @@ def document_frequencies(rows: DataFrame) -> tuple[int, np.ndarray]:
     return int(found[-1]), found[:-1]
 
 
-def sampled(rows: DataFrame, total: int, sample_rows: int) -> list:
-    """(lang, order, buckets, counts, grams) of about `sample_rows` rows, chosen by hash of key and text."""
+def place(rows: DataFrame) -> DataFrame:
+    """lang, `at` (a hash of key and text in 0 to 1) and text of each row."""
     order = F.shiftrightunsigned(F.xxhash64(F.lit("langid"), F.col("key"), F.col("text")), 1) / float(1 << 63)
-    share = min(1.0, sample_rows / max(1, total))
-    chosen = rows.select("lang", order.alias("at"), "text").filter(F.col("at") < share)
+    return rows.select("lang", order.alias("at"), "text")
+
+
+def language_counts(rows: DataFrame) -> list[tuple[str, int, float]]:
+    """(lang, rows, lowest `at`) of every language, in order; rows alike in key and text count once."""
+    found = place(rows).select("lang", "at").distinct().groupBy("lang").agg(F.count("*"), F.min("at"))
+    return sorted(tuple(r) for r in found.collect())
+
+
+def quota(counts: list[int], sample_rows: int) -> int:
+    """Rows that a language may give so that all give about `sample_rows`: what rarer ones lack goes to the others."""
+    left = sample_rows
+    for i, n in enumerate(sorted(counts)):
+        share = left // (len(counts) - i)
+        if n > share:
+            return max(share, LANGUAGE_ROWS)
+        left -= n
+    return max(counts)
+
+
+def sampled(rows: DataFrame, counts: list[tuple[str, int, float]], sample_rows: int) -> list:
+    """(lang, order, buckets, counts, grams) of about `quota` rows of each language, those of smallest hash.
+
+    A rarer language gives all its rows, and each gives the row of its lowest hash at least.
+    """
+    most = quota([n for _, n, _ in counts], sample_rows)
+    limits = [(lang, 1.0 if n <= most else max(most / n, lowest)) for lang, n, lowest in counts]
+    bounds = rows.sparkSession.createDataFrame(limits, "lang string, limit double")
+    chosen = place(rows).join(F.broadcast(bounds), "lang").filter("at <= limit").select("lang", (F.col("at") / F.col("limit")).alias("at"), "text")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -100,7 +130,7 @@ def sampled(rows: DataFrame, total: int, sample_rows: int) -> list:
                 yield pa.RecordBatch.from_arrays(columns, ["lang", "at", "buckets", "counts", "grams"])
 
     schema = "lang string, at double, buckets array<int>, counts array<int>, grams long"
-    table = chosen.mapInArrow(scan, schema).dropDuplicates(["at", "lang"]).limit(2 * sample_rows).toArrow()
+    table = chosen.mapInArrow(scan, schema).dropDuplicates(["at", "lang"]).toArrow()
     return sorted(table.to_pylist(), key=lambda r: (r["at"], r["lang"]))
 
 
@@ -141,14 +171,14 @@ def follow_the_leader(
     return coefficients(z, n)
 
 
-def temperature(logits: np.ndarray, labels: np.ndarray) -> float:
-    """The divisor of the logits with the least log loss, by golden-section search over its logarithm."""
+def temperature(logits: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> float:
+    """The divisor of the logits with the least weighted log loss, by golden-section search over its logarithm."""
     if not len(labels):
         return 1.0
 
     def loss(t: float) -> float:
         p = softmax(logits / np.exp(t))[np.arange(len(labels)), labels]
-        return float(-np.log(np.maximum(p, 1e-12)).mean())
+        return float(-(weights * np.log(np.maximum(p, 1e-12))).sum() / weights.sum())
 
     low, high, ratio = np.log(0.05), np.log(20.0), (5**0.5 - 1) / 2
     for _ in range(40):
@@ -171,8 +201,11 @@ def fit(
 ) -> Model | None:
     """A model from rows with a language, a letter and a key whose remainder isn't 2; None without any.
 
-    Document frequencies cover all such rows; coefficients are fitted on about `sample_rows` of
-    them, of which a fifth is kept for the temperature. One language alone is always predicted.
+    Languages and document frequencies are counted over all such rows; coefficients are fitted on
+    about `sample_rows` of them, the same number of each language or all rows of a rarer one, and
+    LANGUAGE_ROWS of each at least. A fifth of each language's rows is kept for the temperature, in
+    which a language weighs as much as it has rows; one of fewer than five rows is fitted on all.
+    One language alone is always predicted.
     """
     wanted = F.col(lang).isNotNull() & has_letter(F.col(text)) & (remainder(F.col(key)) != 2)
     rows = docs.filter(wanted).select(F.col(key).cast("string").alias("key"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
@@ -180,18 +213,19 @@ def fit(
     if not total:
         return None
     idf = np.log((1 + total) / (1 + found)) + 1
-    sample = sampled(rows, total, sample_rows)
-    languages = sorted({r["lang"] for r in sample})
-    if not languages:
-        return None
-    examples = []
-    for r in sample:
-        at = np.array(r["buckets"])
-        examples.append((languages.index(r["lang"]), at, SCALE * idf[at] * np.array(r["counts"]) / max(1, r["grams"])))
-    kept, used = examples[::5], [e for i, e in enumerate(examples) if i % 5]
+    counts = language_counts(rows)
+    languages = [name for name, _, _ in counts]
+    label_of = {name: i for i, name in enumerate(languages)}
+    kept, used, seen = [], [], Counter()
+    for r in sampled(rows, counts, sample_rows):
+        at, label = np.array(r["buckets"]), label_of[r["lang"]]
+        seen[label] += 1
+        (used if seen[label] % 5 else kept).append((label, at, SCALE * idf[at] * np.array(r["counts"]) / max(1, r["grams"])))
     w = follow_the_leader(used, len(languages), epochs, alpha, beta, l1, l2)
     logits = np.array([w[:, at] @ x for _, at, x in kept]).reshape(len(kept), len(languages))
-    t = temperature(logits, np.array([label for label, _, _ in kept], np.int64))
+    labels = np.array([label for label, _, _ in kept], np.int64)
+    held = np.bincount(labels, minlength=len(languages))
+    t = temperature(logits, labels, np.array([n for _, n, _ in counts])[labels] / held[labels])
     return Model(languages, (w * idf * SCALE).astype(np.float32), t)
 
 

@@ -513,6 +513,29 @@ def test_language_edges(spark, docs, empty):
     assert {r["lang_pred"] for r in langid.predict(blank, None).collect()} == {"und"}
 
 
+def test_rare_languages_are_learned(spark):
+    r = random.Random(11)
+    letters = {"aa": "abcdefgh", "bb": "ijklmnop"} | {f"r{i}": "".join(chr(0x4E00 + 6 * i + j) for j in range(6)) for i in range(12)}
+    rows, i = [], 0
+    for lang, n in {name: 600 if len(set(name)) == 1 else 6 for name in letters}.items():
+        while n:
+            i += 1
+            if zlib.crc32(str(i).encode()) % 4 != 2:
+                rows.append((i, " ".join("".join(r.choice(letters[lang]) for _ in range(5)) for _ in range(20)), lang))
+                n -= 1
+    docs = spark.createDataFrame(rows + 300 * rows[-1:], "doc_id long, text string, lang string")
+    model = langid.fit(docs, sample_rows=100)
+    assert model.languages == sorted(letters)
+    out = {x["doc_id"]: x["lang_pred"] for x in langid.predict(docs, model).collect()}
+    assert all(out[i] == lang for i, _, lang in rows)
+
+
+def test_language_quota():
+    assert langid.quota([7000, 3000, 500, 3], 4000) == 1748
+    assert langid.quota([10, 20], 4000) == 20
+    assert langid.quota([9000] * 1000, 4000) == langid.LANGUAGE_ROWS
+
+
 # --- pipeline and entry -------------------------------------------------------------------------
 
 
