@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from base64 import b32encode
 from collections.abc import Iterator
+from hashlib import sha1
 from urllib.parse import unquote, urlsplit
 
 import pyarrow as pa
@@ -150,7 +152,7 @@ _READ = pa.schema(
 
 
 def parse_record(record: bytes) -> dict:
-    """The fields of one record and its payload."""
+    """The fields of one record and its payload; the payload of a response must have the digest and length of its header."""
     head, _, payload = record.partition(b"\r\n\r\n")
     lines = head.decode().split("\r\n")
     if not lines[0].startswith("WARC/"):
@@ -158,14 +160,19 @@ def parse_record(record: bytes) -> dict:
     fields = dict(line.split(": ", 1) for line in lines[1:])
     if len(payload) != int(fields["Content-Length"]):
         raise ValueError("a record of another length lies at this offset")
+    digest, size = fields["WARC-Payload-Digest"].removeprefix("sha1:"), int(fields["X-Payload-Length"])
+    if fields["WARC-Type"] == "response":
+        digest_read, size_read = b32encode(sha1(payload).digest()).decode(), len(payload)
+        if (digest_read, size_read) != (digest, size):
+            raise ValueError("the payload of this record isn't the one that its header describes")
     bare = lambda v: None if v is None else v.removeprefix("<urn:page:").removesuffix(">")
     return {
         "page_id": bare(fields["WARC-Record-ID"]),
         "url": fields["WARC-Target-URI"],
         "record_type": fields["WARC-Type"],
         "refers_to": bare(fields.get("WARC-Refers-To")),
-        "payload_digest": fields["WARC-Payload-Digest"].removeprefix("sha1:"),
-        "payload_bytes": int(fields["X-Payload-Length"]),
+        "payload_digest": digest,
+        "payload_bytes": size,
         "payload": payload,
     }
 

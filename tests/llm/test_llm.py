@@ -291,6 +291,18 @@ def test_warc_round_trip(spark, tmp_path):
         assert archive.count(b"WARC-Type: ") == len(PAGES)
 
 
+def test_warc_damage_is_noticed(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "u", "whole payload"), (2, "v", "whole payload")], "page_id long, url string, html string")
+    index = warc.write_archives(pages, f"file://{tmp_path}/a")
+    assert [r["payload_bytes"] for r in warc.read_records(index, f"file://{tmp_path}/a").collect()] == [13, 13]
+    (path,) = [p for p in Path(f"{tmp_path}/a").rglob("part-*") if b"whole payload" in p.read_bytes()]
+    record = path.read_bytes().split(b"\r\n\r\nWARC/")[0].removesuffix(b"\r\n\r\n")
+    assert warc.parse_record(record)["payload"] == b"whole payload"
+    for damaged in (record.replace(b"whole payload", b"other payload"), record.replace(b"X-Payload-Length: 13", b"X-Payload-Length: 14")):
+        with pytest.raises(ValueError, match="payload"):
+            warc.parse_record(damaged)
+
+
 def test_warc_without_pages(spark):
     index, records = warc.round_trip(spark.createDataFrame([], "page_id long, url string, html string"))
     assert index.count() == records.count() == 0
