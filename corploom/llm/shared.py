@@ -1,12 +1,11 @@
-"""Helpers of the operators: tables in the shared folder, running totals over many buckets."""
+"""Helpers of the operators: tables in the shared folder, and those of the library."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from corploom.operators.lookup import settled
+from corploom.operators.ranks import running_totals
 from corploom.session import shared_folder
 
 __all__ = ["running_totals", "settled", "shared_folder", "shared_table"]
@@ -18,23 +17,3 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def running_totals(counts: DataFrame, group: list[str], bucket: str, n: str, block: int = 1024) -> DataFrame:
-    """(group, bucket, `before`): sum of `n` over the group's smaller buckets.
-
-    Two levels: no window holds more than `block` buckets or the number of blocks.
-    """
-    blocks = counts.withColumn("_block", F.floor(F.col(bucket) / block))
-    inner = Window.partitionBy(*group, "_block").orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    outer = Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        blocks.groupBy(*group, "_block")
-        .agg(F.sum(n).alias("_sum"))
-        .select(*group, "_block", F.coalesce(F.sum("_sum").over(outer), F.lit(0)).alias("_base"))
-    )
-    return (
-        blocks.join(starts, [*group, "_block"])
-        .withColumn("before", F.coalesce(F.sum(n).over(inner), F.lit(0)) + F.col("_base"))
-        .select(*group, bucket, "before")
-    )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corploom.functions import text as tx
 from corploom.functions import urls
 from corploom.operators import pages as pg
-from corploom.operators import spell
+from corploom.operators import ranks, spell
 from corploom.session import spread
 from corploom.sources import seed
 
@@ -173,8 +173,7 @@ def host_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 def search_results(pages: DataFrame) -> DataFrame:
     """Search answers per host: its pages stand for the queries, their links for the results."""
-    order = F.row_number().over(Window.partitionBy("host").orderBy("page_id"))
-    asked = pages.select("page_id", (order - 1).alias("query_no"))
+    asked = ranks.row_numbers(pages, "host", "page_id", "number").select("page_id", (F.col("number") - 1).alias("query_no"))
     links = pg.page_links(pages, ["host", "page_id"], "url", "html").join(asked, "page_id")
     return links.select(
         "host",

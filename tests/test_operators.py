@@ -446,3 +446,21 @@ def test_counts_that_are_no_number_are_named(spark):
     assert (out["ru_parallel_pairs"], out["ru_parallel_documents"]) == (12, 3)
     assert out["ru_parallel_corpora"] == "A (12); B (no number: many); C (0)"
     assert [r[0] for r in df.orderBy("pos").select(tx.bad_int(F.col("alignment_pairs"))).collect()] == [False, True, False]
+
+
+def test_search_results_number_pages_in_buckets(spark):
+    from corploom.plans import tables
+
+    hosts = ["hot"] * 500 + ["small"] * 3 + [None] * 4
+    page = '<a href="http://x/">t</a>'
+    rows = [(7 * i % 507 + 10**6 * (i % 2), h, "http://h/", page) for i, h in enumerate(hosts)]
+    found = tables.search_results(spark.createDataFrame(rows, "page_id long, host string, url string, html string"))
+    expected = {h: list(range(hosts.count(h))) for h in set(hosts)}
+    got = {h: sorted(r["query_no"] for r in found.collect() if r["host"] == h) for h in expected}
+    assert got == expected
+    # A window whose only partition column is the host would rank all pages of a host in one task.
+    assert "windowspecdefinition(host#" not in found._jdf.queryExecution().toString()
+    numbers = tables.ranks.row_numbers(spark.createDataFrame(rows, "page_id long, host string, url string, html string"), "host", "page_id", "n")
+    order = {h: sorted(r[0] for r in rows if r[1] == h) for h in expected}
+    host_of = {r[0]: r[1] for r in rows}
+    assert all(order[host_of[r["page_id"]]][r["n"] - 1] == r["page_id"] for r in numbers.collect())
