@@ -154,8 +154,11 @@ def match_benchmark(
 ) -> DataFrame:
     """The columns of `docs` plus n_words, matches, n_hit and contaminated.
 
-    Each Arrow batch of documents is cut into shards of a few MB, each with a suffix array over
-    words; every benchmark suffix is binary-searched in every shard. A match is a run of at
+    Each Arrow batch of documents is cut into shards of about 512 KB (`words.SLICE`), each with a
+    suffix array over words. It holds only suffixes whose first SEED words hit a seed table of
+    2**22 bits of the benchmark (no other can match) and is ordered by their first `k` words;
+    every benchmark suffix, cut to `k` words, is binary-searched in every shard, and hits that go
+    on from each other are chained to the longest matches. A match is a run of at
     least `k` words, or a whole item of fewer, that can't be extended; `matches` has its item,
     both places (counted in words from 0) and its length, and n_hit counts the document's words
     inside matches. The benchmark is searched in blocks of about `block_words` words, so what is
