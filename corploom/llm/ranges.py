@@ -11,8 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corploom.llm.shared import settled
-
 # 2**27 bits are 16 MB for the driver and each worker, whatever the data. A fuller filter passes
 # more rows to the exact step behind it and never loses one.
 FILTER_BITS = 27
@@ -137,23 +135,24 @@ def _arrow(kind: T.DataType) -> pa.DataType:
     return {T.LongType(): pa.int64(), T.StringType(): pa.string()}[kind]
 
 
-def without_keys(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
-    """The rows of `docs` whose key isn't in `gone` (one column); rows with a null key stay.
+def one_of_each(docs: DataFrame, marks: DataFrame, number: str) -> DataFrame:
+    """The rows of `docs` without those that `marks` drops, and one of the rows that share a number.
 
-    A bit filter lets most rows through without a shuffle; the few that it may concern are
-    compared with the keys themselves.
+    `marks` has (`number`, kept) for every number that several rows share or that is dropped; a
+    number (a long) is a hash of what makes rows alike. A bit filter lets most rows through
+    without a shuffle; of the few that it may concern, one of each number is left before the
+    numbers themselves are compared, so that no repeated row is hot.
     """
-    gone = settled(gone.filter(F.col(key).isNotNull()).select(F.col(key).alias("_gone"), F.xxhash64(key).alias("_h")).distinct())
-    known = bit_filter(gone.select("_h").distinct(), "_h", KEY_BITS)
-    place = len(docs.columns)
+    known = bit_filter(marks.select(number), number, KEY_BITS)
+    place = docs.columns.index(number)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hit = passes(known.value, batch.column(place).to_numpy(zero_copy_only=False).view(np.uint64))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:place], pa.array(hit)], [*batch.schema.names[:place], "_concerned"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hit)], [*batch.schema.names, "_concerned"])
 
     schema = T.StructType([*docs.schema.fields, T.StructField("_concerned", T.BooleanType())])
-    flagged = docs.withColumn("_h", F.xxhash64(key)).mapInArrow(scan, schema)
+    flagged = docs.mapInArrow(scan, schema)
     clear = flagged.filter("not _concerned").select(*docs.columns)
-    rest = flagged.filter("_concerned").select(*docs.columns).join(gone.select("_gone"), F.col(key) == F.col("_gone"), "left_anti")
-    return clear.unionByName(rest)
+    rest = flagged.filter("_concerned").select(*docs.columns).dropDuplicates([number])
+    return clear.unionByName(rest.join(marks.filter("not kept").select(number), number, "left_anti").select(*docs.columns))

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corploom.llm import decontamination, minhash, mixing, rules, sharding
-from corploom.llm.ranges import without_keys
-from corploom.llm.shared import shared_table
+from corploom.llm.ranges import one_of_each, row_key
+from corploom.llm.shared import settled, shared_table
 
 KEY, TEXT, SOURCE = "doc_id", "text", "source"
 
@@ -26,9 +26,20 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (5-word shingles, similarity of 0.8 or more): the smallest key."""
-    judged = minhash.near_duplicates(docs, KEY, TEXT)
-    return without_keys(docs, judged.filter("not kept").select(KEY), KEY)
+    """One document of each group of near duplicates (5-word shingles, similarity of 0.8 or more): the smallest key.
+
+    Each row is judged on its own, by a number made of key and text: rows of one key with
+    different texts may fare differently, a null key comes after the others, and of rows alike
+    in both, one is left.
+    """
+    rows, back, names = _plain(docs)
+    key, text = names[KEY], names[TEXT]
+    rows = rows.withColumn("_row", F.xxhash64(row_key(key, text), F.col(key).isNull(), F.col(text).isNull()))
+    order = F.struct(F.col(key).isNull().alias("last"), F.col(key).alias("key"), F.col("_row").alias("row"))
+    judged = minhash.near_duplicates(rows.select(order.alias("_order"), text), "_order", text)
+    alike = judged.groupBy(F.col("_order.row").alias("_row")).agg(F.count("*").alias("n"), F.min("kept").alias("kept"))
+    marks = settled(alike.filter("n > 1 or not kept").select("_row", "kept"))
+    return one_of_each(rows, marks, "_row").select(*back)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

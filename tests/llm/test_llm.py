@@ -576,6 +576,22 @@ def test_pipeline_stages(spark):
         at = spark.createDataFrame(got, out.schema)
 
 
+def test_near_duplicate_stage_judges_rows(spark):
+    r = random.Random(5)
+    a, b, c, d = (" ".join(r.choice(VOCABULARY) for _ in range(80)) for _ in range(4))
+    near = lambda t: t + " more"
+    table = [
+        (1, a), (2, near(a)), (2, b), (3, c), (3, c), (3, c), (None, near(c)), (None, c),
+        (None, d), (None, near(d)), (None, d), (4, b), (5, None), (5, ""), (5, ""), (None, None), (None, None),
+    ]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in table], "doc_id long, text string, source string")
+    got = [(x["doc_id"], x["text"]) for x in corpus_pipeline.near_duplicates(spark, docs, DATA).collect()]
+    (last,) = [t for i, t in got if i is None and t]
+    assert last in (d, near(d))
+    expected = [(1, a), (2, b), (3, c), (None, last), (5, None), (5, ""), (None, None)]
+    assert Counter(got) == Counter(expected)
+
+
 def test_pipeline_runs_and_takes_empty_tables(spark):
     assert corpus_pipeline.run(spark, DATA).count() > 0
     none = spark.read.parquet(f"{DATA}/documents.parquet").limit(0)
