@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corploom.llm import coverdedup, decontamination, langid, minhash, mixing, rules, sharding, suffixdedup, urlfilter, warc
+from corploom.llm import coverdedup, decontamination, langid, minhash, mixing, rules, sharding, suffixdedup, urlfilter, variants, warc
 
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
 
@@ -87,6 +87,10 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.predict(docs, langid.fit(docs))
 
 
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.variants(variants.count_words(_table(spark, folder, "documents").select("doc_id", "text")))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_decontamination": op2_decontamination,
@@ -98,6 +102,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_language_id": op10_language_id,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 _BASE32_SQL = " || ".join(
