@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corploom.llm import coverdedup, decontamination, langid, minhash, mixing, rules, sharding, suffixdedup, urlfilter, variants, warc
+from corploom.llm import coverdedup, decontamination, langid, minhash, mixing, personal, rules, sharding, suffixdedup, urlfilter, variants, warc
 
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
 
@@ -87,6 +87,17 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.predict(docs, langid.fit(docs))
 
 
+def op11_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = personal.find(_table(spark, folder, "documents").select("doc_id", "text"))
+    spans = F.col("spans")
+    return found.select(
+        "doc_id",
+        *[personal.count(spans, kind).alias(f"n_{kind}") for kind in personal.BASE],
+        F.sha2(personal.listed(spans, personal.BASE), 256).alias("base_sha256"),
+        personal.listed(spans).alias("spans"),
+    )
+
+
 def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return variants.variants(variants.count_words(_table(spark, folder, "documents").select("doc_id", "text")))
 
@@ -102,6 +113,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_language_id": op10_language_id,
+    "op11_personal_data": op11_personal_data,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
