@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corploom.llm import coverdedup, decontamination, langid, minhash, mixing, personal, rules, sharding, suffixdedup, urlfilter, variants, warc
+from corploom.llm import coverdedup, decontamination, hardnegatives, langid, minhash, mixing, personal, rules, sharding, suffixdedup, urlfilter, variants, warc
 
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
 
@@ -98,6 +98,12 @@ def op11_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardnegatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return variants.variants(variants.count_words(_table(spark, folder, "documents").select("doc_id", "text")))
 
@@ -114,6 +120,7 @@ QUERIES = {
     "op9_near_duplicates": op9_near_duplicates,
     "op10_language_id": op10_language_id,
     "op11_personal_data": op11_personal_data,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
@@ -146,4 +153,22 @@ ORACLES = {
         SELECT q.page_id, q.host, q.path, fits.rule, coalesce(fits.verdict, 'allow') AS verdict
         FROM q LEFT JOIN fits USING (page_id)
     """,
+    "op12_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+                   FROM embeddings
+                   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+                     list_inner_product(a.q, b.q)::BIGINT AS score
+              FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+        p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+        SELECT p.anchor_id, positive_id,
+               row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id)::INTEGER AS rank,
+               other_id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+                     AND 80 * positive_score <= 100 * score AND score <= positive_score
+        QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) <= 5
+    """,
 }

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from corploom.operators.lookup import settled
 from corploom.operators.ranks import running_totals
 from corploom.session import shared_folder
 
-__all__ = ["running_totals", "settled", "shared_folder", "shared_table"]
+__all__ = ["drop_folder", "running_totals", "settled", "shared_folder", "shared_table"]
 
 
 def shared_table(df: DataFrame, name: str) -> DataFrame:
@@ -17,3 +17,9 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of this run, once nothing reads it any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
