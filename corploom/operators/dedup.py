@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corploom.functions import text as tx
-from corploom.operators.components import connected
+from corploom.operators.bitfilter import join_hits
+from corploom.operators.components import components, connected
 from corploom.operators.lookup import lookup, settled
 
 
@@ -54,19 +55,19 @@ def drop_boilerplate(df: DataFrame, text: str, row_id: str, at_least: int) -> Da
 
     Lines travel as hashes. A boilerplate line is by nature a hot key, hence the
     split look-up instead of a plain anti-join. Only the places of dropped lines are
-    gathered per row and applied where the text lies; every row keeps its row.
+    gathered per row and applied where the text lies; only texts with a hit are shuffled; every
+    row keeps its row.
     """
     rows = exploded_lines(df, text, row_id).select(row_id, "pos", F.md5("line").alias("line_hash"))
     frequent = rows.groupBy("line_hash").agg(F.count("*").alias("n")).filter(F.col("n") >= at_least)
     flagged = lookup(
         rows, frequent.withColumn("boilerplate", F.lit(True)), "line_hash", F.concat_ws(":", row_id, "pos"), "n"
     )
-    hits = flagged.filter("boilerplate").groupBy(row_id).agg(F.collect_set("pos").alias("_dropped"))
+    hits = settled(flagged.filter("boilerplate").groupBy(row_id).agg(F.collect_set("pos").alias("_dropped")))
     trimmed = F.transform(tx.lines(F.col(text)), lambda line: F.trim(line))
     kept = F.filter(trimmed, lambda line, i: (F.length(line) > 0) & ~F.array_contains(F.col("_places"), i))
     return (
-        df.select(row_id, text)
-        .join(hits, row_id, "left")
+        join_hits(df.select(row_id, text), hits, row_id)
         .withColumn("_places", F.coalesce("_dropped", F.array().cast("array<int>")))
         .select(
             row_id,
@@ -148,3 +149,77 @@ def near_duplicates(
             "group_size",
         )
     )
+
+
+def verified_duplicates(
+    df: DataFrame, text: str, row_id: str, source: str, least: float = 0.8, bands: int = 20, rows: int = 5, width: int = 5
+) -> DataFrame:
+    """Groups of rows linked by verified similarity: sets of word shingles with Jaccard of at least `least`.
+
+    A min-hash band only proposes. The rows of a band are compared with its lowest row; those
+    that are not similar enough form the band's next group, until none is left, so each row is
+    tied to the first leader it is verified against and no pairs within a group are formed. Rows with one
+    and the same set are one row there. Groups are connected by these links; each removed row
+    names the lowest row of its group, that row's source, and `similarity`, the highest of its own verified links
+    (1 for equal sets; of links to rows it leads, if it has no leader).
+
+    A pair at similarity s meets in a band with 1 - (1 - s**rows)**bands (0.9996 at 0.8). Rows without words
+    are in no group. A row in no group of two or more is left out.
+    """
+    normal = F.col("_shingles.of")
+    shingled = df.select(row_id, source, tx.computed_once(of=shingles(F.col(text), width)).alias("_shingles"))
+    hashes = F.array_sort(F.array_distinct(F.transform(normal, lambda s: F.xxhash64(s))))
+    sets = settled(shingled.filter(F.size(normal) > 0).select(row_id, source, hashes.alias("set")))
+    sets = sets.withColumn("digest", F.xxhash64("set", F.reverse("set")))
+    signed = minhash_signatures(df, [row_id], text, bands, rows, width)
+    # 1. Rows with equal sets: the lowest stands for all.
+    firsts = settled(sets.groupBy("digest").agg(F.min(row_id).alias("head"), F.count("*").alias("_n")))
+    heads = firsts.select(F.col("head").alias(row_id))
+    # 2. Groups of heads by band; a band of one row proposes nothing.
+    placed = signed.join(heads, row_id, "left_semi").select(row_id, F.explode("band_keys").alias("band"))
+    shared = placed.groupBy("band").agg(F.count("*").alias("_n")).filter("_n > 1").withColumn("_shared", F.lit(True))
+    left = settled(lookup(placed, shared, "band", F.col(row_id), "_n").filter("_shared").select(row_id, "band"))
+    members = settled(sets.join(left.select(row_id).distinct(), row_id, "left_semi").select(row_id, "set"))
+    links = None
+    while left.limit(1).count():
+        leaders = left.groupBy("band").agg(F.min(row_id).alias("leader"), F.count("*").alias("_n")).filter("_n > 1")
+        asked = lookup(left, leaders, "band", F.col(row_id), "_n").filter(F.col("leader").isNotNull() & (F.col(row_id) != F.col("leader")))
+        asked = settled(asked)
+        pairs = asked.select(row_id, "leader").distinct()
+        with_own = pairs.join(members, row_id)
+        load = pairs.groupBy("leader").agg(F.count("*").alias("_n"))
+        leading = load.join(members.select(F.col(row_id).alias("leader"), F.col("set").alias("leader_set")), "leader")
+        both = lookup(with_own, leading, "leader", F.col(row_id), "_n", broadcast_rows=1000)
+        inner = F.size(F.array_intersect("set", "leader_set"))
+        score = inner / (F.size("set") + F.size("leader_set") - inner)
+        judged = settled(both.select(row_id, "leader", score.alias("similarity")).filter(F.col("similarity") >= least))
+        links = judged if links is None else links.unionByName(judged)
+        left = settled(asked.join(judged.select(row_id, "leader"), [row_id, "leader"], "left_anti").select(row_id, "band"))
+    if links is None:
+        links = pairs_of_none(df, row_id)
+    links = settled(links.groupBy(row_id, "leader").agg(F.max("similarity").alias("similarity")))
+    # 3. Groups of heads, then of all rows.
+    named = components(links, row_id, "leader").withColumnRenamed("id", "head").withColumnRenamed("label", "group")
+    ends = links.select(F.col(row_id).alias("head"), "similarity").unionByName(links.select(F.col("leader").alias("head"), "similarity"))
+    best = ends.groupBy("head").agg(F.max("similarity").alias("similarity"))
+    grouped = firsts.join(named.join(best, "head"), "head", "left").withColumn("group", F.coalesce("group", "head"))
+    narrow = sets.select(row_id, source, "digest")
+    rows_ = lookup(narrow, grouped.select("digest", "group", F.col("similarity").alias("linked"), "_n", (F.col("_n") > 1).alias("copied")), "digest", F.col(row_id), "_n")
+    sized = settled(rows_)
+    sizes = sized.groupBy("group").agg(F.count("*").alias("group_size")).filter("group_size > 1")
+    kept = narrow.select(F.col(row_id).alias("group"), F.col(source).alias("kept_source"))
+    whole = lookup(sized, sizes.join(kept, "group").withColumn("_uses", F.col("group_size")), "group", F.col(row_id), "_uses")
+    return whole.filter(F.col("group_size").isNotNull()).select(
+        row_id,
+        source,
+        (F.col(row_id) != F.col("group")).alias("removed"),
+        F.col("group").alias("removed_by"),
+        F.col("kept_source").alias("removed_source"),
+        F.when(F.col("copied"), 1.0).otherwise(F.col("linked")).alias("similarity"),
+        "group_size",
+    )
+
+
+def pairs_of_none(df: DataFrame, row_id: str) -> DataFrame:
+    kind = df.schema[row_id].dataType.simpleString()
+    return df.sparkSession.createDataFrame([], f"{row_id} {kind}, leader {kind}, similarity double")

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corploom.functions import text as tx
-from corploom.operators.lookup import join_keyed, settled
+from corploom.operators.bitfilter import bit_table, may_hold
+from corploom.operators.lookup import lookup, settled
 
 NAMES = ("train", "dev", "test")
 
@@ -87,10 +88,16 @@ def leaks(df: DataFrame, text: Column, split: str = "split") -> DataFrame:
 def held_out_overlap(
     df: DataFrame, row_id: str, text: str, held_out: DataFrame, held_text: str, width: int = 8
 ) -> DataFrame:
-    """Rows that share word n-grams with a held-out set, and how many of them."""
+    """Rows that share word n-grams with a held-out set, and how many of them.
+
+    A bit table of the held-out n-grams lets through few others in the scan; what passes is compared
+    exactly, so that no more than the hits (and rare false ones) are shuffled, however long either side is.
+    """
+    asked = held_out.select(F.explode(tx.word_ngrams(F.col(held_text), width)).alias("gram"))
+    asked = settled(asked.select(F.xxhash64("gram").alias("h"), F.md5("gram").alias("gram")).distinct())
+    known = bit_table(asked, "h")
     grams = df.select(row_id, F.explode(F.array_distinct(tx.word_ngrams(F.col(text), width))).alias("gram"))
-    grams = grams.select(row_id, F.md5("gram").alias("gram"))
-    test_grams = held_out.select(F.explode(tx.word_ngrams(F.col(held_text), width)).alias("gram"))
-    test_grams = test_grams.select(F.md5("gram").alias("gram")).distinct()
-    shared = join_keyed(grams, test_grams, "gram", F.col(row_id), "left_semi")
+    hits = settled(grams.filter(may_hold(known, F.xxhash64("gram"))).select(row_id, F.md5("gram").alias("gram")))
+    uses = hits.groupBy("gram").agg(F.count("*").alias("_n")).join(asked.select("gram", F.lit(True).alias("held")), "gram")
+    shared = lookup(hits, uses, "gram", F.col(row_id), "_n").filter("held")
     return shared.groupBy(row_id).agg(F.count("*").alias("shared_ngrams"))
