@@ -14,14 +14,7 @@ from pyspark.sql import types as T
 
 from corploom.functions import text as tx
 from corploom.functions import urls
-
-# Comments and whole script/style/noscript elements; then any other tag.
-HIDDEN = (
-    r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>|<noscript\b[^>]*>.*?</noscript\s*>"
-)
-TAG = r"(?s)<[A-Za-z/!?][^>]*>"
-ANCHOR = r"(?is)<a\s(?:[^>]*?[^\w>-])?href\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)[^>]*>(.*?)</a\s*>"
-
+from corploom.operators import markup
 
 @F.pandas_udf(T.StringType())
 def _unescape(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -30,33 +23,55 @@ def _unescape(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def unescape(text: Column) -> Column:
-    """Entities decoded; only texts that hold an '&' visit Python."""
+    """Entities of a plain text decoded; only texts that hold an '&' visit Python."""
     return F.coalesce(_unescape(F.when(F.contains(text, F.lit("&")), text)), text)
 
 
-def page_text(page: Column, max_chars: int | None = None) -> Column:
-    """Visible text with single spaces; `max_chars` keeps a leading part (evidence use)."""
-    bare = F.regexp_replace(F.regexp_replace(page, HIDDEN, " "), TAG, " ")
-    out = tx.normalize_space(unescape(bare))
+def visible(parts: Column, max_chars: int | None = None) -> Column:
+    """Visible text out of `markup.of(page)`, with single spaces; `max_chars` keeps a leading part (evidence use)."""
+    out = tx.normalize_space(parts["text"])
     return F.substring(out, 1, max_chars) if max_chars else out
 
 
+def page_text(page: Column, max_chars: int | None = None) -> Column:
+    return visible(markup.of(page), max_chars)
+
+
+def _label(link: Column, label_chars: int) -> Column:
+    return F.substring(tx.normalize_space(link["label"]), 1, label_chars)
+
+
 def page_links(pages: DataFrame, key: list[str], url: str, page: str, max_links: int | None = None, label_chars: int = 160) -> DataFrame:
     """(key..., pos, url, label): anchors in order, addresses made absolute."""
-    shown = F.regexp_replace(F.col(page), HIDDEN, " ")
-    hrefs = F.regexp_extract_all(shown, F.lit(ANCHOR), F.lit(1))
-    labels = F.regexp_extract_all(shown, F.lit(ANCHOR), F.lit(2))
+    links = markup.of(F.col(page))["links"]
     if max_links:
-        hrefs, labels = F.slice(hrefs, 1, max_links), F.slice(labels, 1, max_links)
-    rows = pages.select(*key, F.col(url).alias("base"), F.posexplode(F.arrays_zip(hrefs.alias("h"), labels.alias("l"))).alias("pos", "a"))
-    href = F.trim(F.regexp_replace(F.col("a.h"), "^[\"']|[\"']$", ""))
-    label = F.regexp_replace(F.col("a.l"), TAG, " ")
-    decoded = rows.select(*key, "base", "pos", unescape(F.concat(href, F.lit("\x00"), label)).alias("both"))
-    return decoded.select(
+        links = F.slice(links, 1, max_links)
+    rows = pages.select(*key, F.col(url).alias("base"), F.posexplode(links).alias("pos", "a"))
+    return rows.select(
         *key,
         (F.col("pos") + 1).alias("pos"),
-        urls.resolve(F.col("base"), F.split_part("both", F.lit("\x00"), F.lit(1))).alias("url"),
-        F.substring(tx.normalize_space(F.split_part("both", F.lit("\x00"), F.lit(2))), 1, label_chars).alias("label"),
+        urls.resolve(F.col("base"), F.col("a.href")).alias("url"),
+        _label(F.col("a"), label_chars).alias("label"),
+    )
+
+
+def links_in_row(parts: Column, base: Column, label_chars: int = 160) -> Column:
+    """The links of `markup.of(page)` as array<struct<url, label>>, addresses made absolute."""
+    return F.transform(
+        parts["links"], lambda a: F.struct(urls.resolve(base, a["href"]).alias("url"), _label(a, label_chars).alias("label"))
+    )
+
+
+def downloads_in_row(links: Column, size: int = 3) -> Column:
+    """struct<download_link_count, download_links, probe_target> of the first `size` download links in the row's array."""
+    first = F.transform(F.slice(F.filter(links, lambda a: is_download_link(a["url"], a["label"])), 1, size), lambda a: a["url"])
+    return tx.let(
+        first,
+        lambda u: F.struct(
+            F.size(u).cast("long").alias("download_link_count"),
+            F.array_join(u, "; ").alias("download_links"),
+            F.get(u, F.lit(0)).alias("probe_target"),
+        ),
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corploom.functions import text as tx
-from corploom.operators.bitfilter import bit_table, may_hold
+from corploom.operators.bitfilter import bit_table, bits_for, may_hold
 from corploom.operators.lookup import lookup, settled
 
 NAMES = ("train", "dev", "test")
@@ -95,9 +95,10 @@ def held_out_overlap(
     """
     asked = held_out.select(F.explode(tx.word_ngrams(F.col(held_text), width)).alias("gram"))
     asked = settled(asked.select(F.xxhash64("gram").alias("h"), F.md5("gram").alias("gram")).distinct())
-    known = bit_table(asked, "h")
+    bits = bits_for(asked)
+    known = bit_table(asked, "h", bits)
     grams = df.select(row_id, F.explode(F.array_distinct(tx.word_ngrams(F.col(text), width))).alias("gram"))
-    hits = settled(grams.filter(may_hold(known, F.xxhash64("gram"))).select(row_id, F.md5("gram").alias("gram")))
+    hits = settled(grams.filter(may_hold(known, F.xxhash64("gram"), bits)).select(row_id, F.md5("gram").alias("gram")))
     uses = hits.groupBy("gram").agg(F.count("*").alias("_n")).join(asked.select("gram", F.lit(True).alias("held")), "gram")
     shared = lookup(hits, uses, "gram", F.col(row_id), "_n").filter("held")
     return shared.groupBy(row_id).agg(F.count("*").alias("shared_ngrams"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corploom.functions import text as tx
 from corploom.functions import urls
-from corploom.operators import align, packages, pages, recognition
+from corploom.operators import align, markup, packages, pages, recognition
 from corploom.operators.lookup import join_keyed
 from corploom.plans import tables as tb
 from corploom.plans.corpus import LW, SP, W, _n, _norm, _share
@@ -54,13 +54,10 @@ PAGE_LINKS = f"WITH {_LINKS} SELECT page_id, pos, url, label FROM links"
 
 def download_links(spark: SparkSession, d: str) -> DataFrame:
     """Per page: links in all, and the first three that look like data."""
-    links = page_links(spark, d)
-    found = pages.download_links(links, ["page_id"])
-    counts = links.groupBy("page_id").agg(F.count("*").alias("links"))
-    return counts.join(found, "page_id", "left").select(
-        "page_id", "links", F.coalesce("download_link_count", F.lit(0)).alias("download_link_count"),
-        F.coalesce("download_links", F.lit("")).alias("download_links"),
-    )
+    listed = pages.links_in_row(markup.of(F.col("html")), F.col("url"))
+    rows = tb.host_pages(spark, d).select("page_id", tx.computed_once(links=listed).alias("_p")).filter(F.size("_p.links") > 0)
+    found = rows.select("page_id", F.size("_p.links").cast("long").alias("links"), pages.downloads_in_row(F.col("_p.links")).alias("d"))
+    return found.select("page_id", "links", "d.download_link_count", "d.download_links")
 
 
 _DOWN = (
@@ -114,16 +111,19 @@ WITH {_LINKS}, {_RESULTS} SELECT host, 'search' AS query_type, query_no, rank, e
 
 
 def _classified(spark: SparkSession, d: str) -> DataFrame:
-    raw = tb.host_pages(spark, d)
-    found = pages.download_links(page_links(spark, d), ["page_id"])
+    """Pages with their rule labels: the markup is read once, links are judged in the row, no text is shuffled."""
     langs = tb.languages(documents(spark, d)).select(
         F.col("iso639_3").alias("page_lang"), F.array("language_en", "language_ru", "iso639_3").alias("names")
     )
-    opened = raw.select(
+    read = tb.host_pages(spark, d).select(
         "page_id", "host", "url", F.regexp_extract("html", r'<html[^>]*\blang="([a-z]+)"', 1).alias("page_lang"),
-        pages.page_text(F.col("html")).alias("text"),
+        markup.of(F.col("html")).alias("parts"),
     )
-    joined = join_keyed(opened.join(found, "page_id", "left"), langs, "page_lang", F.col("page_id"), "left")
+    found = pages.downloads_in_row(pages.links_in_row(F.col("parts"), F.col("url")))
+    opened = read.select(
+        "page_id", "host", "url", "page_lang", tx.computed_once(text=pages.visible(F.col("parts")), found=found).alias("_p")
+    ).select("page_id", "host", "url", "page_lang", "_p.text", "_p.found.*")
+    joined = join_keyed(opened, langs, "page_lang", F.col("page_id"), "left")
     return pages.classify(joined, "text", "url", F.col("names"), "download_link_count")
 
 
