@@ -24,11 +24,26 @@ ARTIFACTS = [
 LICENSE_WORDS = ["license", "licence", "лиценз"]
 TEST_SET_WORDS = ["test set", "тестов"]
 
-_COMMA = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-
-
-def _csv_cells(line: Column) -> Column:
-    return F.transform(F.split(line, _COMMA), lambda c: F.trim(F.regexp_replace(c, '^"|"$', "")))
+def csv_records(content: Column) -> Column:
+    """Records of a CSV text as array<array<string>>, cells trimmed; quoted cells may hold commas, line breaks and doubled quotes.
+
+    Cut at its quotes, the text has quoted parts at every second place; an empty part between two
+    quoted ones is a doubled quote. Commas and line breaks of quoted parts are put aside while
+    records and cells are cut, so the work is linear. A quote that is never closed takes the rest
+    of the text. Control characters 1 and 2 are dropped; records without any text stay.
+    """
+    parts = F.split(F.translate(content, "\x01\x02\r", ""), '"')
+    kept = tx.let(
+        parts,
+        lambda p: F.transform(
+            p,
+            lambda s, i: F.when(i % 2 == 1, F.translate(s, ",\n", "\x01\x02"))
+            .when((s == "") & (i > 0) & (i < F.size(p) - 1), F.lit('"'))
+            .otherwise(s),
+        ),
+    )
+    records = F.split(F.array_join(kept, ""), "\n")
+    return F.transform(records, lambda r: F.transform(F.split(r, ","), lambda c: F.trim(F.translate(c, "\x01\x02", ",\n"))))
 
 
 def _by_name(value: str) -> Column:
@@ -39,15 +54,18 @@ def _by_name(value: str) -> Column:
 def overview(files: DataFrame) -> DataFrame:
     """One row per package with the few facts all rules need; contents stay behind in the scan."""
     body, low = F.col("content"), F.lower(F.col("content"))
-    rows = F.split(F.regexp_replace(body, r"\r", ""), "\n")
-    header = _csv_cells(F.element_at(rows, 1))
-    data = F.filter(F.slice(rows, F.lit(2), F.greatest(F.size(rows) - 1, F.lit(0))), lambda l: F.trim(l) != "")
+    name = F.col("name")
+    # Only the list of sources is read as a table, once.
+    rows = F.col("_csv.rows")
+    header = F.try_element_at(rows, F.lit(1))
     at = F.array_position(header, F.lit("license_or_access")).cast("int")
-    cell = lambda line, i: F.lower(F.coalesce(F.try_element_at(_csv_cells(line), F.nullif(i, F.lit(0))), F.lit("")))
-    unknown = tx.let(at, lambda i: F.exists(data, lambda line: F.contains(cell(line, i), F.lit("unknown"))))
+    cell = lambda record, i: F.lower(F.coalesce(F.try_element_at(record, F.nullif(i, F.lit(0))), F.lit("")))
+    data = F.slice(rows, F.lit(2), F.greatest(F.size(rows) - 1, F.lit(0)))
+    unknown = tx.let(at, lambda i: F.exists(data, lambda record: F.contains(cell(record, i), F.lit("unknown"))))
     unknown = F.coalesce(unknown, F.lit(False))
-    name = F.col("name")
     facts = files.select(
+        "package", "name", "content", tx.computed_once(rows=F.when(name == "sources.csv", csv_records(body))).alias("_csv")
+    ).select(
         "package",
         "name",
         F.length(body).alias("chars"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corploom.functions import text as tx
@@ -48,6 +48,27 @@ def carry_forward(current: DataFrame, previous: DataFrame, key: str, checked: st
     )
 
 
+def as_of(runs: DataFrame, key: str, run: str, checked: str, code: str, error: str, values: list[str]) -> DataFrame:
+    """Every run of an inventory as it was known then: where a key could not be checked, its last checked values.
+
+    `runs` has a row for each key and run (each run a partition). A key with a code that was not checked
+    takes the values of the latest earlier run that checked it, with `from_run` naming that run and
+    `cached_from_previous_run` set; without an earlier one its values are 0. `error` stays the run's own.
+    A key has one row a run, so a window holds no more rows than there are runs.
+    """
+    before = Window.partitionBy(key).orderBy(run).rowsBetween(Window.unboundedPreceding, -1)
+    good = F.when(F.col(checked), F.struct(*values, F.col(run).alias("_run")))
+    known = F.last(good, ignorenulls=True).over(before)
+    use = ~F.col(checked) & F.col(code).isNotNull() & F.col("_known").isNotNull()
+    return runs.withColumn("_known", known).select(
+        *[c for c in runs.columns if c not in (*values, error)],
+        F.when(~F.col(checked), F.coalesce(error, F.lit(""))).otherwise("").alias(error),
+        *[F.when(use, F.col("_known")[v]).when(F.col(checked), F.coalesce(v, F.lit(0))).otherwise(0).alias(v) for v in values],
+        F.when(use, F.col("_known")["_run"]).when(F.col(checked), F.col(run)).alias("from_run"),
+        use.alias("cached_from_previous_run"),
+    )
+
+
 def update_where(df: DataFrame, mask: Column, column: str, value: Column) -> DataFrame:
     return df.withColumn(column, F.when(mask, value).otherwise(F.col(column)))
 

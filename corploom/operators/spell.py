@@ -150,6 +150,34 @@ def with_status(listed: DataFrame, foreign: DataFrame, min_sources: int = 2) ->
     )
 
 
+NAME_NOTE = "capitalised inside sentences"
+
+
+def name_shares(df: DataFrame, text: str, script: str, at_least: int = 3) -> DataFrame:
+    """(word, inner, capitalised): occurrences that do not begin a sentence, and how many of them have a capital first."""
+    placed = df.select(F.explode(tx.sentences(F.col(text))).alias("sentence")).select(
+        F.posexplode(tx.script_tokens(F.col("sentence"), script, at_least)).alias("pos", "token")
+    )
+    first = F.substring("token", 1, 1)
+    inner = placed.filter("pos > 0").select(F.lower("token").alias("word"), (first != F.lower(first)).alias("capital"))
+    return inner.groupBy("word").agg(F.count("*").alias("inner"), F.count_if("capital").alias("capitalised"))
+
+
+def with_names(listed: DataFrame, shares: DataFrame, least: float = 0.5, min_count: int = 2) -> DataFrame:
+    """The word list with `name_share` and the flag `name`, told in the notes: a word that is mostly
+    capitalised where no sentence begins is likely a name, which a first word of a sentence can't show."""
+    share = F.col("capitalised") / F.nullif(F.col("inner"), F.lit(0))
+    is_name = F.coalesce((share >= least) & (F.col("capitalised") >= min_count), F.lit(False))
+    noted = F.concat_ws("; ", F.nullif(F.col("notes"), F.lit("")), F.when(is_name, NAME_NOTE))
+    return (
+        listed.join(shares, "word", "left")
+        .withColumn("name_share", F.round(share, 6))
+        .withColumn("notes", noted)
+        .withColumn("name", is_name)
+        .drop("inner", "capitalised")
+    )
+
+
 def unknown_words(freq: DataFrame, accepted: DataFrame, distance: int = 1) -> DataFrame:
     """Words missing from the accepted list, with candidates; never corrected without a decision."""
     unknown = freq.join(accepted.select("word"), "word", "left_anti")
