@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corploom.llm import decontamination, minhash, mixing, rules, sharding
 from corploom.llm.ranges import one_of_each, row_key
-from corploom.llm.shared import settled, shared_table
+from corploom.llm.shared import release, settled, shared_table
 
 KEY, TEXT, SOURCE = "doc_id", "text", "source"
 
@@ -20,6 +20,7 @@ def _plain(docs: DataFrame) -> tuple[DataFrame, list, dict[str, str]]:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base and that no learned rule rejects."""
+    release(spark)
     learned = rules.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     rows, back, names = _plain(docs)
     return rules.judge(rows, learned, names[TEXT], keep_text=True).filter("kept").select(*back)
@@ -32,6 +33,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     different texts may fare differently, a null key comes after the others, and of rows alike
     in both, one is left.
     """
+    release(spark)
     rows, back, names = _plain(docs)
     key, text = names[KEY], names[TEXT]
     rows = rows.withColumn("_row", F.xxhash64(row_key(key, text), F.col(key).isNull(), F.col(text).isNull()))
@@ -44,6 +46,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a run of 10 benchmark words."""
+    release(spark)
     rows, back, names = _plain(docs)
     found = decontamination.match_benchmark(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), names[TEXT])
     return found.filter("not contaminated").select(*back)
@@ -51,6 +54,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Whole documents by the target weights, each as often as the mix takes it."""
+    release(spark)
     rows, back, names = _plain(docs)
     size = F.coalesce(F.regexp_count(names[TEXT], F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0))
     mixed = mixing.mix(rows, size, names[SOURCE], names[KEY], whole=True)
@@ -60,6 +64,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def interleaved_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The shard and slot of each document."""
+    release(spark)
     return sharding.shard_table(docs, text=TEXT, source=SOURCE, key=KEY)
 
 
