@@ -105,7 +105,9 @@ def write_archives(
     at least `min_bytes` bytes, the smallest page_id is the response and others are revisits of
     it; rows that share that page_id, or whose page_id is null throughout, are responses too. A
     null html is an empty payload, a null url an empty target. An empty table gives an empty
-    index. Only the records themselves are shuffled with their texts, once.
+    index. The records are shuffled with their texts into as many partitions as there are archives, so
+    that tasks don't grow with the table; past the broadcast limit of the payloads that occur
+    more than once, a first shuffle brings each text to its digest.
     """
     records = described(pages, key, url, html, min_bytes)
     header = _header(date)
@@ -124,7 +126,7 @@ def write_archives(
     body = F.when(F.col("record_type") == "revisit", F.lit("")).otherwise(F.col("html"))
     (
         records.select(*order, archive, F.concat(header, body).alias("value"))
-        .repartition("archive")
+        .repartition(archives, "archive")
         .sortWithinPartitions("archive", *order)
         .select("value", "archive")
         .write.partitionBy("archive")
@@ -219,7 +221,8 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
     """
     files = archive_files(index.sparkSession, folder)
     wanted = index.select("archive", "offset", "length").join(files, "archive")
-    ranges = wanted.repartition("archive").sortWithinPartitions("path", "offset").select("path", "archive", "offset", "length")
+    archives = (index.agg(F.max("archive")).first()[0] or 0) + 1
+    ranges = wanted.repartition(archives, "archive").sortWithinPartitions("path", "offset").select("path", "archive", "offset", "length")
     return ranges.mapInArrow(read_ranges, READ_SCHEMA)
 
 
