@@ -13,9 +13,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from corploom.llm.shared import shared_folder, shared_table
+from corploom.llm.shared import release, shared_folder, shared_table
 
 ARCHIVE_BYTES = 32 << 20
+# Turns in which archives are written: shuffle files of one turn's texts lie on disk beside them.
+TURNS = 3
 # Ranges that lie at most this far apart are read at once, up to READ_BYTES a read.
 GAP_BYTES = 64 << 10
 READ_BYTES = 8 << 20
@@ -105,8 +107,8 @@ def write_archives(
     at least `min_bytes` bytes, the smallest page_id is the response and others are revisits of
     it; rows that share that page_id, or whose page_id is null throughout, are responses too. A
     null html is an empty payload, a null url an empty target. An empty table gives an empty
-    index. The records are shuffled with their texts into as many partitions as there are archives, so
-    that tasks don't grow with the table; past the broadcast limit of the payloads that occur
+    index. The records are shuffled with their texts, each archive into a task of its own, so that tasks
+    don't grow with the table; in TURNS turns, each of which reads the table. Past the broadcast limit of the payloads that occur
     more than once, a first shuffle brings each text to its digest.
     """
     records = described(pages, key, url, html, min_bytes)
@@ -124,15 +126,19 @@ def write_archives(
         narrow.withColumn("offset", F.coalesce(F.sum(F.col("length") + len(RECORD_END)).over(before), F.lit(0))), "warc-index"
     )
     body = F.when(F.col("record_type") == "revisit", F.lit("")).otherwise(F.col("html"))
-    (
-        records.select(*order, archive, F.concat(header, body).alias("value"))
-        .repartition(archives, "archive")
-        .sortWithinPartitions("archive", *order)
-        .select("value", "archive")
-        .write.partitionBy("archive")
-        .option("lineSep", RECORD_END)
-        .text(folder)
-    )
+    values = records.select(*order, archive, F.concat(header, body).alias("value"))
+    for turn in range(min(TURNS, archives)):
+        own = values.filter(F.col("archive") % TURNS == turn)
+        (
+            own.repartitionById(-(-archives // TURNS), F.floor(F.col("archive") / TURNS).cast("int"))
+            .sortWithinPartitions("archive", *order)
+            .select("value", "archive")
+            .write.mode("append")
+            .partitionBy("archive")
+            .option("lineSep", RECORD_END)
+            .text(folder)
+        )
+        release(pages.sparkSession)  # this turn's shuffle files
     return index
 
 
@@ -222,7 +228,7 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
     files = archive_files(index.sparkSession, folder)
     wanted = index.select("archive", "offset", "length").join(files, "archive")
     archives = (index.agg(F.max("archive")).first()[0] or 0) + 1
-    ranges = wanted.repartition(archives, "archive").sortWithinPartitions("path", "offset").select("path", "archive", "offset", "length")
+    ranges = wanted.repartitionById(archives, "archive").sortWithinPartitions("path", "offset").select("path", "archive", "offset", "length")
     return ranges.mapInArrow(read_ranges, READ_SCHEMA)
 
 
