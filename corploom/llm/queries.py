@@ -22,8 +22,8 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    found = decontamination.match_benchmark(docs, _table(spark, folder, "benchmark"))
-    items = decontamination.items_found(F.col("matches"))
+    found = decontamination.match_benchmark(docs, _table(spark, folder, "benchmark"), matches=False)
+    items = F.col("items")
     return found.select(
         "doc_id",
         "n_words",
