@@ -205,12 +205,14 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
     The sample's keys, whose number is bounded, are broadcast, so only these texts are measured;
     rows are ordered by hash before the bound is applied, so reruns agree. Rows without a key or
-    a label teach nothing; without both kinds of label there are no rules.
+    a label teach nothing, nor do keys with two different labels; equal labels of a key count once,
+    and each row of a key that `docs` repeats is an example. Without both kinds of label, or with an
+    empty table, there are no rules.
     """
-    known = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull()).select(
-        F.col(key).alias("_key"), F.col(label).alias("_label"), F.xxhash64(F.lit("rules"), F.col(key)).alias("_order")
-    )
-    chosen = known.dropDuplicates(["_key"]).orderBy("_order", "_label").limit(sample_rows)
+    known = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).alias("_key"))
+    agreed = known.agg(F.min(label).alias("_label"), F.max(label).alias("_most")).filter("_label = _most").drop("_most")
+    order = F.xxhash64(F.lit("rules"), "_key")
+    chosen = agreed.withColumn("_order", order).orderBy("_order", "_key").limit(sample_rows)
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(F.broadcast(chosen), "_key")
     stats = statistics()
     sample = (
@@ -237,7 +239,8 @@ def decision(rules: list[Rule]) -> Column:
 def judge(docs: DataFrame, rules: list[Rule], text: str = "text", keep_text: bool = False) -> DataFrame:
     """`measured` rows plus base_failed, rule (the first that fires, else null) and kept.
 
-    kept is false if base_failed or a rule fires. A null or empty text fails the base.
+    kept is false if base_failed or a rule fires. A null or empty text fails the base. Of rules
+    that fire together the first counts; repeated rows are judged alike, an empty table gives no rows.
     """
     rows = measured(docs, text, keep_text).withColumn("base_failed", base_failed()).withColumn("rule", decision(rules))
     return rows.withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
