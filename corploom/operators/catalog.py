@@ -29,6 +29,16 @@ def is_monolingual(source: Column, target: Column, code: Column) -> Column:
     return (source == code) & (F.coalesce(target, F.lit("")) == "")
 
 
+def unparsable_numbers(rows: DataFrame, key: str, *columns: str) -> DataFrame:
+    """(key, field, value): one row for each cell of `columns` that is there but is no whole number.
+
+    Null and empty cells count as 0 and are no errors; numbers beyond 64 bits are.
+    """
+    cell = lambda c: F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value"), tx.bad_int(F.col(c)).alias("bad"))
+    bad = F.filter(F.array(*[cell(c) for c in columns]), lambda s: s["bad"])
+    return rows.select(F.col(key), F.inline(bad)).drop("bad")
+
+
 def corpora_summary(corpora: DataFrame, code: str, pos: str, pivot: str = "ru") -> DataFrame:
     """Per language code: pairs, documents and a rendered list, for parallel and for mono rows.
 
@@ -410,6 +420,16 @@ def parse_decisions(answers: DataFrame, raw: str, card_id: str) -> DataFrame:
     )
 
 
+def decision_records(decisions: DataFrame, mode: str) -> DataFrame:
+    """Decisions with the page of what they judge and how they came about.
+
+    An empty or null id has no page; what did not parse keeps its page, for the reviewer.
+    """
+    known = F.coalesce(F.col("dataset_id"), F.lit("")) != ""
+    page = F.when(known, urls.catalogue_page_url(F.col("dataset_id"))).otherwise("")
+    return decisions.withColumn("url", page).withColumn("mode", F.lit(mode))
+
+
 def undecided(cards: DataFrame) -> DataFrame:
     """Placeholder rows while no answers exist; label, confidence, reason and mode are fixed values."""
     return cards.select(

@@ -458,11 +458,40 @@ SELECT id AS dataset_id, 'needs_openrouter_key' AS label, 'none' AS confidence,
   downloads, {_LANG_TAGS} AS language_tags, array_to_string(list_filter(tags, lambda t: starts_with(t, 'task_categories:')), '; ') AS task_tags,
   'https://huggingface.co/datasets/' || id AS url, 'no_llm' AS mode FROM cards"""
 
+
+def decision_records(spark: SparkSession, d: str) -> DataFrame:
+    """Every answer as a decision with its page and mode; cards without an answer follow as undecided."""
+    answered = catalog.decision_records(parsed_decisions(spark, d), "llm")
+    cards_left = catalog.undecided(cards(spark, d)).withColumn("raw_answer", F.lit(None).cast("string"))
+    return answered.unionByName(cards_left.select(*answered.columns))
+
+
+DECISION_RECORDS = f"""
+WITH {DECISIONS_SQL}, u AS ({UNDECIDED_CARDS})
+SELECT *, 'https://huggingface.co/datasets/' || dataset_id AS url, 'llm' AS mode FROM dec
+UNION ALL BY NAME
+SELECT dataset_id, label, confidence, reason, evidence, needs_human_review, url, mode FROM u"""
+
+
+def unparsable_numbers(spark: SparkSession, d: str) -> DataFrame:
+    """Fields of documents read as numbers: each cell that is none, such as a first word."""
+    rows = tb.documents(spark, d).withColumn("first_word", F.split("text", " ", 2)[0])
+    return catalog.unparsable_numbers(rows, "doc_id", "first_word", "source", "n_chars")
+
+
+UNPARSABLE_NUMBERS = r"""
+WITH cells AS (
+  SELECT doc_id, 'first_word' AS field, split_part(text, ' ', 1) AS value FROM documents
+  UNION ALL SELECT doc_id, 'source', source FROM documents
+  UNION ALL SELECT doc_id, 'n_chars', n_chars::VARCHAR FROM documents)
+SELECT * FROM cells WHERE value <> '' AND NOT (regexp_full_match(value, '\s*[+-]?[0-9]+\s*') AND TRY_CAST(value AS BIGINT) IS NOT NULL)"""
+
 NAMES = [
     "corpora_summary", "corpora_totals", "corpora_conform", "catalog_dedup_last", "card_brief", "card_fields", "catalog_matches",
     "catalog_top5", "size_categories", "card_summary", "query_errors", "pair_candidates", "query_templates", "inventory",
     "inventory_summary", "inventory_metadata", "family_totals", "family_branches", "snapshot_diff", "snapshot_carry_forward",
     "snapshot_update", "parsed_decisions", "review_queue", "label_counts", "parallel_decisions", "undecided_cards",
+    "decision_records", "unparsable_numbers",
 ]
 QUERIES = {n: globals()[n] for n in NAMES}
 ORACLES = {n: globals()[n.upper()] for n in NAMES}

@@ -80,6 +80,18 @@ SELECT doc_id AS pageid, lang AS title, 'https://example.org/' || source AS url,
   md5(CASE WHEN doc_id % 10 <> 0 THEN text ELSE '' END) AS text_md5 FROM documents"""
 
 
+def landed_page_texts(spark: SparkSession, d: str) -> DataFrame:
+    """The whole extract of every document, landed in files and read back."""
+    path = shared_folder(spark, "page-answers")
+    page = F.struct(F.col("lang").alias("title"), F.col("text").alias("extract"), F.col("doc_id").alias("pageid"))
+    found = F.struct(F.create_map(F.col("doc_id").cast("string"), page).alias("pages"))
+    files.write_text(documents(spark, d).select(F.to_json(F.struct(found.alias("query"))).alias("raw")), "raw", path)
+    return landed.page_extracts(landed.read_answers(spark, path)).select("pageid", "title", "text")
+
+
+LANDED_PAGE_TEXTS = "SELECT doc_id AS pageid, lang AS title, coalesce(text, '') AS text FROM documents"
+
+
 # ---- round trips ---------------------------------------------------------
 
 
@@ -122,7 +134,7 @@ WITH {CLEAN_SQL} SELECT doc_id, sha256(text_clean) AS text_hash, chars, tokens,
 
 
 NAMES = [
-    "landed_corpora", "landed_cards", "landed_search", "landed_pages", "csv_round_trip", "jsonl_round_trip", "refreshed_texts",
+    "landed_corpora", "landed_cards", "landed_search", "landed_pages", "landed_page_texts", "csv_round_trip", "jsonl_round_trip", "refreshed_texts",
 ]
 QUERIES = {n: globals()[n] for n in NAMES}
 ORACLES = {n: globals()[n.upper()] for n in NAMES}

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corploom.functions import text as tx
-from corploom.operators import decisions, lines, packages, snapshots, spell, suggest
+from corploom.operators import catalog, decisions, lines, packages, snapshots, spell, suggest
 
 
 def frame(spark, rows, schema):
@@ -220,3 +220,21 @@ def test_runs_as_they_were_known(spark):
         ("a", 1): ("", 5, 1, False), ("a", 2): ("timeout", 5, 1, True), ("a", 3): ("timeout", 5, 1, True), ("a", 4): ("", 8, 4, False),
         ("b", 1): ("timeout", 0, None, False), ("b", 2): ("", 3, 2, False), ("n", 1): ("", 0, None, False), ("n", 2): ("", 0, None, False),
     }
+
+
+def test_decision_records_and_unparsable_numbers(spark):
+    answers = spark.createDataFrame(
+        [(1, '{"dataset_id": "a/b", "label": "parallel_corpus"}'), (2, "no json"), (3, '{"dataset_id": "", "label": "x"}'), (None, "")],
+        "doc_id long, raw string",
+    )
+    rows = catalog.decision_records(catalog.parse_decisions(answers, "raw", "doc_id"), "llm").collect()
+    assert {r["mode"] for r in rows} == {"llm"}
+    assert [(r["dataset_id"], r["label"], r["url"].split("/datasets/")[-1]) for r in rows] == [
+        ("a/b", "parallel_corpus", "a/b"), ("2", "llm_unparsed", "2"), ("", "x", ""), (None, "llm_unparsed", ""),
+    ]
+    table = [(1, "12", " -3 "), (2, "", None), (3, "1.5", "9" * 30), (4, "12 k", "0"), (None, "x", "x")]
+    found = catalog.unparsable_numbers(spark.createDataFrame(table, "k long, a string, b string"), "k", "a", "b").collect()
+    assert sorted(map(tuple, found), key=str) == sorted(
+        [(3, "a", "1.5"), (3, "b", "9" * 30), (4, "a", "12 k"), (None, "a", "x"), (None, "b", "x")], key=str
+    )
+    assert catalog.unparsable_numbers(spark.createDataFrame([], "k long, a string"), "k", "a").count() == 0
