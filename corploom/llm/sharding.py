@@ -73,7 +73,9 @@ def shard_table(
     """doc_id, size (UTF-8 bytes plus 16), text_crc32, law, shard, slot and grown_shard for every row.
 
     The law is `rows`: counts differ by one at most. A null text has no bytes (size 16, CRC 0).
-    Only these measures are shuffled, never the text.
+    Rows of equal texts are placed like any others, rows alike in everything are interchangeable.
+    Columns beside key, text and source are left out, whatever their names. Only these measures are
+    shuffled, never the text.
     """
     content = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(
