@@ -19,7 +19,12 @@ def _plain(docs: DataFrame) -> tuple[DataFrame, list, dict[str, str]]:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base and that no learned rule rejects."""
+    """Documents that pass the base and that no learned rule rejects.
+
+    Each row is judged by its text alone, so repeated rows fare alike. A null, empty or short text
+    fails the base. Columns with the names of measures come back as they were. Without labels the
+    base alone decides; an empty table gives no rows.
+    """
     release(spark)
     learned = rules.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     rows, back, names = _plain(docs)
@@ -45,7 +50,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a run of 10 benchmark words."""
+    """Documents without a run of 10 benchmark words, or a whole item of fewer.
+
+    Each row is judged by its text alone, of any length; a null or empty text has no words and
+    stays, and so do all documents if the benchmark has no words. Null keys and repeated rows are
+    judged like others, columns with the names of results come back as they were, and an empty
+    table gives no rows.
+    """
     release(spark)
     rows, back, names = _plain(docs)
     found = decontamination.match_benchmark(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), names[TEXT], matches=False)
@@ -53,7 +64,12 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Whole documents by the target weights, each as often as the mix takes it."""
+    """Whole documents by the target weights, each as often as the mix takes it (0 to 3 times).
+
+    A null source is a source, the last by order. A document without words, such as a null text, adds
+    nothing to a target and is not taken. Rows of one key share its hash and are taken alike; columns with
+    the names of results come back as they were, and an empty table gives no rows.
+    """
     release(spark)
     rows, back, names = _plain(docs)
     size = F.coalesce(F.regexp_count(names[TEXT], F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0))
@@ -63,7 +79,12 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def interleaved_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The shard and slot of each document."""
+    """The shard and slot of each document, with its key, size, CRC and source.
+
+    A row that the mix took several times has as many slots. A null text has size 16 and CRC 0, a null
+    key or source is placed like any other, columns beside key, text and source are left out, and an
+    empty table gives no rows.
+    """
     release(spark)
     return sharding.shard_table(docs, text=TEXT, source=SOURCE, key=KEY)
 
