@@ -149,4 +149,5 @@ def bad_int(value: Column) -> Column:
 def sentences(text: Column) -> Column:
     """Segments ending in . ! ? or a line break, blanks dropped."""
     parts = F.split(text, r"(?<=[.!?…])\s+|\n+")
-    return F.filter(F.transform(parts, F.trim), lambda s: F.length(s) > 0)
+    # F.trim itself takes a second argument, for which transform would hand it the place.
+    return F.filter(F.transform(parts, lambda s: F.trim(s)), lambda s: F.length(s) > 0)

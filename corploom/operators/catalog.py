@@ -161,7 +161,7 @@ def name_parts(languages: DataFrame) -> DataFrame:
     """(iso639_3, part, first_token, pattern): searchable parts of the names, four letters or more."""
     names = F.array(F.lower("language_en"), F.lower("language_ru"))
     parts = F.flatten(F.transform(F.filter(names, lambda n: n.isNotNull()), lambda n: F.split(n, r"(?U)\s*/\s*|\s+-\s+")))
-    rows = languages.select("iso639_3", F.explode(F.array_distinct(F.transform(parts, F.trim))).alias("part"))
+    rows = languages.select("iso639_3", F.explode(F.array_distinct(F.transform(parts, lambda p: F.trim(p)))).alias("part"))
     rows = rows.filter(F.length("part") >= 4)
     escaped = F.regexp_replace("part", r"([\\.\[\]{}()*+?^$|\-])", r"\\$1")
     return rows.select(

@@ -133,3 +133,8 @@ def test_unicode_and_entities(spark):
     texts = ["&lt;b&gt; &amp;lt; &#1073;&nbsp;&copy;", "none", None]
     want = [None if t is None else html.unescape(t) for t in texts]
     assert [r["u"] for r in run(spark, texts, u=pages.unescape(F.col("t")))] == want
+
+
+def test_sentences_lose_no_digits_that_name_their_place(spark):
+    rows = run(spark, ["0 a.  1 b 1. 22 c\n 3 d 3 ", "00", None], s=tx.sentences(F.col("t")))
+    assert [r["s"] for r in rows] == [["0 a.", "1 b 1.", "22 c", "3 d 3"], ["00"], None]
