@@ -206,6 +206,13 @@ def test_unclosed_markup_is_linear(piece):
     assert time.perf_counter() - begin < 60
 
 
+def test_entities_without_semicolon_stay_as_written():
+    page = '<p>a&amp;&amp</p>&lt;b&gt; &amp;lt; &#1073;&#x431; &AMP; &ampx; &no; &<a href="/q?a=1&copy=2&amp;b=3">&quo</a>&copy;'
+    text, links = markup.parts(page)
+    assert text.split() == ["a&&amp", "<b>", "&lt;", "бб", "&", "&ampx;", "&no;", "&", "&quo", "©"]
+    assert links == [{"href": "/q?a=1&copy=2&b=3", "label": "&quo"}]
+
+
 def test_markup_of_null_and_in_row_links(spark):
     rows = [(1, "http://h.org/a/", '<p>T</p><a href="x.zip">d</a><a href=/y>e</a><a href="z.csv">f</a>'), (2, "http://h.org/", None), (3, "http://h.org/", "")]
     df = frame(spark, rows, "id int, url string, html string")
