@@ -64,11 +64,15 @@ def letter_share(text: Column, chars: str, letters: str) -> Column:
     return F.coalesce(F.round(class_count(text, chars) / F.nullif(total, F.lit(0)), 3), F.lit(0.0))
 
 
+def joined_words(text: Column) -> Column:
+    """The lower-cased words, joined by one space."""
+    return F.trim(F.regexp_replace(F.lower(text), f"[^{WORD_CLASS}]+", " "))
+
+
 def word_ngrams(text: Column, width: int) -> Column:
     """Overlapping runs of `width` lower-cased words, in one linear scan of the text."""
-    joined = F.trim(F.regexp_replace(F.lower(text), f"[^{WORD_CLASS}]+", " "))
     pattern = f"(?<![^ ])(?=([^ ]+(?: [^ ]+){{{width - 1}}}))"
-    return F.regexp_extract_all(joined, F.lit(pattern), F.lit(1))
+    return F.regexp_extract_all(joined_words(text), F.lit(pattern), F.lit(1))
 
 
 def computed_once(**measures: Column) -> Column:

@@ -2,14 +2,25 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+from hashlib import md5
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corploom.functions import text as tx
 from corploom.operators.bitfilter import join_hits
 from corploom.operators.components import components, connected
 from corploom.operators.lookup import lookup, settled
 
+# Functions of this module travel to the workers whole, so these need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def flag_exact(df: DataFrame, text: Column, row_id: str, out: str = "duplicate") -> DataFrame:
     """Flag every row whose text already occurs under a lower `row_id`.
@@ -79,6 +90,10 @@ def drop_boilerplate(df: DataFrame, text: str, row_id: str, at_least: int) -> Da
 
 # Multipliers and offsets of the min-hash family, from a linear congruential rule.
 PRIME = (1 << 31) - 1
+# Shingles that a worker takes to their minima at once.
+_SLICE = 1 << 16
+# Rows and shingles of a band up to which one task finishes what its first leader left.
+BAND_ROWS, BAND_VALUES = 1000, 1 << 18
 
 
 def hash_family(n: int) -> list[tuple[int, int]]:
@@ -92,24 +107,70 @@ def hash_family(n: int) -> list[tuple[int, int]]:
     return pairs
 
 
-def shingles(text: Column, width: int) -> Column:
-    """Runs of `width` words; a shorter text is one shingle as a whole, a text without words none."""
-    whole = F.filter(F.array(F.trim(F.regexp_replace(F.lower(text), f"[^{tx.WORD_CLASS}]+", " "))), lambda w: w != "")
-    return tx.let(tx.word_ngrams(text, width), lambda grams: F.when(F.size(grams) > 0, grams).otherwise(whole))
-
+def _shingle_hashes(joined: str, width: int) -> np.ndarray:
+    """The first 64 bits of the md5 of each shingle of a text whose words are joined by one space."""
+    raw = joined.encode()
+    spaces = np.flatnonzero(np.frombuffer(raw, np.uint8) == 32)
+    starts, ends = [0, *(spaces + 1).tolist()], [*spaces.tolist(), len(raw)]
+    if len(starts) < width:
+        starts, ends = starts[:1], ends[-1:]
+    places = zip(starts, ends[width - 1 :] if len(starts) >= width else ends)
+    return np.frombuffer(b"".join([md5(raw[i:j]).digest()[:8] for i, j in places]), ">u8").astype(np.uint64)
+
+
+def _minima(hashes: np.ndarray, firsts: list[int], family: list[tuple[int, int]]) -> np.ndarray:
+    """One row per text, whose hashes begin at `firsts`: the least value under each function of the family."""
+    prime = np.uint64(PRIME)
+    h = hashes >> np.uint64(32)
+    h -= h // prime * prime
+    least = np.empty((len(firsts), len(family)), np.uint32)
+    for i, (a, b) in enumerate(family):
+        x = h * np.uint64(a) + np.uint64(b)
+        x -= x // prime * prime
+        least[:, i] = np.minimum.reduceat(x, firsts)
+    return least
+
+
+def minhash_signatures(
+    df: DataFrame, keys: list[str], text: str, bands: int, rows: int, width: int, with_sets: bool = False
+) -> DataFrame:
+    """(keys..., band_keys): `bands * rows` minima per row in one pass over the texts, without a shuffle.
 
-def minhash_signatures(df: DataFrame, keys: list[str], text: str, bands: int, rows: int, width: int) -> DataFrame:
-    """(keys..., band_keys): `bands * rows` minima per row, folded before the shuffle; no text is shuffled."""
-    hashed = df.select(*keys, F.explode(shingles(F.col(text), width)).alias("shingle")).select(
-        *keys, (F.conv(F.substring(F.md5("shingle"), 1, 8), 16, 10).cast("long") % PRIME).alias("h")
-    )
+    `with_sets` adds `set`, the different shingles of the row as 64-bit hashes. A text without words gives no row.
+    """
     family = hash_family(bands * rows)
-    minima = [F.min((F.col("h") * a + b) % PRIME).alias(f"m{i}") for i, (a, b) in enumerate(family)]
-    band_keys = [
-        F.md5(F.concat_ws(",", F.lit(str(b)), *[F.col(f"m{b * rows + r}").cast("string") for r in range(rows)]))
-        for b in range(bands)
-    ]
-    return hashed.groupBy(*keys).agg(*minima).select(*keys, F.array(*band_keys).alias("band_keys"))
+    schema = T.StructType([*df.select(*keys).schema.fields, T.StructField("band_keys", T.ArrayType(T.StringType()))])
+    if with_sets:
+        schema.add("set", T.ArrayType(T.LongType()))
+
+    def signed(batch: pa.RecordBatch, places: list[int], hashes: list[np.ndarray]) -> pa.RecordBatch:
+        firsts = np.cumsum([0, *[len(h) for h in hashes[:-1]]]).tolist()
+        least = _minima(np.concatenate(hashes), firsts, family)
+        found = [[md5(b"%d:" % b + m[b * rows : (b + 1) * rows].tobytes()).hexdigest() for b in range(bands)] for m in least]
+        columns = [batch.column(i).take(pa.array(places)) for i in range(len(keys))]
+        columns.append(pa.array(found, pa.list_(pa.string())))
+        if with_sets:
+            sets = [np.unique(h).view(np.int64) for h in hashes]
+            ends = np.cumsum([0, *[len(s) for s in sets]])
+            columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets))))
+        return pa.RecordBatch.from_arrays(columns, schema.names)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places, hashes, held = [], [], 0
+            for place, joined in enumerate(batch.column(len(keys))):
+                if not (value := joined.as_py()):
+                    continue
+                places.append(place)
+                hashes.append(_shingle_hashes(value, width))
+                held += len(hashes[-1])
+                if held >= _SLICE:
+                    yield signed(batch, places, hashes)
+                    places, hashes, held = [], [], 0
+            if places:
+                yield signed(batch, places, hashes)
+
+    return df.select(*keys, tx.joined_words(F.col(text))).mapInArrow(scan, schema)
 
 
 def near_duplicates(
@@ -151,6 +212,40 @@ def near_duplicates(
     )
 
 
+def _settled_round(df: DataFrame) -> DataFrame:
+    """A settled table of one of many rounds. A checkpoint keeps the planner's estimate of its size, a product over the
+    joins before it: carried from round to round, its digits and the driver's time double with each. So it is left behind."""
+    kept = settled(df)._jdf
+    return DataFrame(df.sparkSession._jsparkSession.createDataFrame(kept.toJavaRDD(), kept.schema()), df.sparkSession)
+
+
+def _within_bands(rows: DataFrame, row_id: str, least: float) -> DataFrame:
+    """(row_id, leader, similarity) for the rows of short bands (row_id, band, set), led by the lowest left, until none is."""
+    kind = rows.schema[row_id].dataType.simpleString()
+
+    def finish(band: pa.Table) -> pa.Table:
+        band = band.sort_by(row_id)
+        sets = [np.sort(s.values.to_numpy()) for s in band.column("set")]
+        at, sizes, values = np.arange(len(sets)), np.array([len(s) for s in sets]), np.concatenate(sets)
+        led, leaders, scores = [], [], []
+        while len(at) > 1:
+            own, head, at, sizes, values = sets[at[0]], at[0], at[1:], sizes[1:], values[sizes[0] :]
+            near = np.minimum(np.searchsorted(own, values), len(own) - 1)
+            inner = np.add.reduceat((own[near] == values).astype(np.int64), np.cumsum(sizes) - sizes)
+            score = inner / (sizes + len(own) - inner)
+            linked = score >= least
+            led.append(at[linked])
+            leaders.append(np.full(linked.sum(), head))
+            scores.append(score[linked])
+            values = values[np.repeat(~linked, sizes)]
+            at, sizes = at[~linked], sizes[~linked]
+        ids = band.column(row_id)
+        columns = [ids.take(pa.array(np.concatenate(places))) for places in (led, leaders)]
+        return pa.table([*columns, pa.array(np.concatenate(scores))], [row_id, "leader", "similarity"])
+
+    return rows.groupBy("band").applyInArrow(finish, f"{row_id} {kind}, leader {kind}, similarity double")
+
+
 def verified_duplicates(
     df: DataFrame, text: str, row_id: str, source: str, least: float = 0.8, bands: int = 20, rows: int = 5, width: int = 5
 ) -> DataFrame:
@@ -158,7 +253,8 @@ def verified_duplicates(
 
     A min-hash band only proposes. The rows of a band are compared with its lowest row; those
     that are not similar enough form the band's next group, until none is left, so each row is
-    tied to the first leader it is verified against and no pairs within a group are formed. Rows with one
+    tied to the first leader it is verified against and no pairs within a group are formed. After a band's
+    first leader, one task finishes it if it has few rows left; a longer one takes further rounds over all tasks. Rows with one
     and the same set are one row there. Groups are connected by these links; each removed row
     names the lowest row of its group, that row's source, and `similarity`, the highest of its own verified links
     (1 for equal sets; of links to rows it leads, if it has no leader).
@@ -166,25 +262,21 @@ def verified_duplicates(
     A pair at similarity s meets in a band with 1 - (1 - s**rows)**bands (0.9996 at 0.8). Rows without words
     are in no group. A row in no group of two or more is left out.
     """
-    normal = F.col("_shingles.of")
-    shingled = df.select(row_id, source, tx.computed_once(of=shingles(F.col(text), width)).alias("_shingles"))
-    hashes = F.array_sort(F.array_distinct(F.transform(normal, lambda s: F.xxhash64(s))))
-    sets = settled(shingled.filter(F.size(normal) > 0).select(row_id, source, hashes.alias("set")))
-    sets = sets.withColumn("digest", F.xxhash64("set", F.reverse("set")))
-    signed = minhash_signatures(df, [row_id], text, bands, rows, width)
+    signed = settled(minhash_signatures(df, [row_id, source], text, bands, rows, width, True))
+    sets = signed.select(row_id, source, "set", F.xxhash64("set", F.reverse("set")).alias("digest"))
     # 1. Rows with equal sets: the lowest stands for all.
     firsts = settled(sets.groupBy("digest").agg(F.min(row_id).alias("head"), F.count("*").alias("_n")))
     heads = firsts.select(F.col("head").alias(row_id))
     # 2. Groups of heads by band; a band of one row proposes nothing.
-    placed = signed.join(heads, row_id, "left_semi").select(row_id, F.explode("band_keys").alias("band"))
+    placed = signed.join(heads, row_id, "left_semi").select(row_id, F.size("set").alias("values"), F.explode("band_keys").alias("band"))
     shared = placed.groupBy("band").agg(F.count("*").alias("_n")).filter("_n > 1").withColumn("_shared", F.lit(True))
-    left = settled(lookup(placed, shared, "band", F.col(row_id), "_n").filter("_shared").select(row_id, "band"))
+    left = settled(lookup(placed, shared, "band", F.col(row_id), "_n").filter("_shared").select(row_id, "values", "band"))
     members = settled(sets.join(left.select(row_id).distinct(), row_id, "left_semi").select(row_id, "set"))
     links = None
     while left.limit(1).count():
         leaders = left.groupBy("band").agg(F.min(row_id).alias("leader"), F.count("*").alias("_n")).filter("_n > 1")
         asked = lookup(left, leaders, "band", F.col(row_id), "_n").filter(F.col("leader").isNotNull() & (F.col(row_id) != F.col("leader")))
-        asked = settled(asked)
+        asked = _settled_round(asked)
         pairs = asked.select(row_id, "leader").distinct()
         with_own = pairs.join(members, row_id)
         load = pairs.groupBy("leader").agg(F.count("*").alias("_n"))
@@ -192,9 +284,16 @@ def verified_duplicates(
         both = lookup(with_own, leading, "leader", F.col(row_id), "_n", broadcast_rows=1000)
         inner = F.size(F.array_intersect("set", "leader_set"))
         score = inner / (F.size("set") + F.size("leader_set") - inner)
-        judged = settled(both.select(row_id, "leader", score.alias("similarity")).filter(F.col("similarity") >= least))
+        judged = both.select(row_id, "leader", score.alias("similarity")).filter(F.col("similarity") >= least)
+        judged = _settled_round(judged)
         links = judged if links is None else links.unionByName(judged)
-        left = settled(asked.join(judged.select(row_id, "leader"), [row_id, "leader"], "left_anti").select(row_id, "band"))
+        rest = asked.join(judged.select(row_id, "leader"), [row_id, "leader"], "left_anti").select(row_id, "values", "band")
+        rest = _settled_round(rest)
+        load = rest.groupBy("band").agg(F.count("*").alias("_n"), F.sum("values").alias("_values")).filter("_n > 1")
+        few = load.select("band", "_n", ((F.col("_n") <= BAND_ROWS) & (F.col("_values") <= BAND_VALUES)).alias("_few"))
+        marked = _settled_round(lookup(rest, few, "band", F.col(row_id), "_n").filter(F.col("_few").isNotNull()))
+        links = links.unionByName(_within_bands(marked.filter("_few").select(row_id, "band").join(members, row_id), row_id, least))
+        left = marked.filter("not _few").drop("_few")
     if links is None:
         links = pairs_of_none(df, row_id)
     links = settled(links.groupBy(row_id, "leader").agg(F.max("similarity").alias("similarity")))

@@ -1,5 +1,6 @@
 """Index, keyed refresh, verified duplicates, page tokenizer and scan filters against brute force."""
 
+import hashlib
 import random
 import re
 import time
@@ -179,6 +180,35 @@ def test_verified_duplicates_of_dissimilar_band_mates(spark, monkeypatch):
     assert dedup.verified_duplicates(frame(spark, [], "id bigint, t string, s string"), "t", "id", "s").collect() == []
 
 
+@pytest.mark.parametrize("band_rows", [1000, 1])
+def test_verified_duplicates_of_a_band_of_strangers(spark, monkeypatch, band_rows):
+    """One task finishes a short band after its first leader; a long one takes rounds whose plans do not swell."""
+    n = 16 if band_rows > 1 else 6
+    rows = [(i, " ".join([f"w{i}x{j}" for j in range(20)]), "s") for i in range(n)] + [(n + i, f"w{i}x0 y " + " ".join([f"w{i}x{j}" for j in range(1, 20)]), "s") for i in range(n)]
+    plain, settled, made = dedup.minhash_signatures, dedup.settled, []
+    monkeypatch.setattr(dedup, "minhash_signatures", lambda *a: plain(*a).withColumn("band_keys", F.array(F.lit("one"))))
+    monkeypatch.setattr(dedup, "settled", lambda df: made.append(df) or settled(df))
+    monkeypatch.setattr(dedup, "BAND_ROWS", band_rows)
+    got = dedup.verified_duplicates(frame(spark, rows, "id bigint, t string, s string"), "t", "id", "s", 0.8, width=2).collect()
+    assert {(x["id"], x["removed_by"], x["similarity"]) for x in got} == {(i, i % n, 18 / 21) for i in range(2 * n)}
+    assert len(made) <= (12 if band_rows > 1 else 6 + 4 * n)
+    sizes = [len(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in made]
+    assert max(sizes) < 200
+
+
+def test_signatures_by_brute_force(spark):
+    texts = ["a b c d", "One, two", "x", "", None, "Ж ё Ж ё Ж ё Ж", "a b c d e f g"]
+    got = {x["id"]: x for x in dedup.minhash_signatures(frame(spark, list(enumerate(texts)), "id bigint, t string"), ["id"], "t", 3, 2, 3, True).collect()}
+    first = lambda s: int(hashlib.md5(" ".join(s).encode()).hexdigest()[:16], 16)
+    sets = {i: {first(s) for s in shingle_set(t, 3)} for i, t in enumerate(texts) if shingle_set(t, 3)}
+    assert {i: {v % 2**64 for v in x["set"]} for i, x in got.items()} == sets
+    family = dedup.hash_family(6)
+    least = {i: [min(((v >> 32) % dedup.PRIME * a + b) % dedup.PRIME for v in s) for a, b in family] for i, s in sets.items()}
+    for i, x in got.items():
+        for j, y in got.items():
+            assert [p == q for p, q in zip(x["band_keys"], y["band_keys"])] == [least[i][2 * b : 2 * b + 2] == least[j][2 * b : 2 * b + 2] for b in range(3)]
+
+
 # ---- markup ------------------------------------------------------------------
 
 HIDDEN = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>|<noscript\b[^>]*>.*?</noscript\s*>"
