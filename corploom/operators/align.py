@@ -16,6 +16,10 @@ from corploom.functions import text as tx
 from corploom.operators.lookup import settled
 
 _SLACK = 1e-7
+# Left rows that meet the right rows of a block at once: what a worker holds is this many rows of scores.
+_ROWS = 256
+# More than what rounding a score to 12 digits moves it by, on both sides.
+_ROUNDED = 1e-11
 
 # Functions of this module travel to the workers whole, so these need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -74,6 +78,17 @@ def _blocked(rows: DataFrame, own: str, other: str, side: str, block: int) -> Da
     )
 
 
+def _best_of(scores: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, column, score to 12 digits) of the `n` highest finite scores per row; ties: lowest column."""
+    least = scores.max(axis=1) if n == 1 else np.partition(scores, -n, axis=1)[:, -n]
+    rows, columns = np.nonzero(scores >= least[:, None] - _ROUNDED)
+    kept = np.round(scores[rows, columns], 12)
+    order = np.lexsort((columns, -kept, rows))
+    rows, columns, kept = rows[order], columns[order], kept[order]
+    taken = (np.arange(len(rows)) - np.searchsorted(rows, rows) < n) & np.isfinite(kept)
+    return rows[taken], columns[taken], kept[taken]
+
+
 def _block_top(left: DataFrame, right: DataFrame, k: int, block: int, exclude_same: bool) -> DataFrame:
     """Best `k` right rows per left row within each shared cell, as blocked matrix products."""
 
@@ -93,20 +108,19 @@ def _block_top(left: DataFrame, right: DataFrame, k: int, block: int, exclude_sa
         b = b.sort_values("right_id", kind="stable")
         if not len(a) or not len(b):
             return pd.DataFrame({"left_id": a["left_id"][:0], "right_id": b["right_id"][:0], "score": []})
-        scores = np.round(np.array(a["v"].to_list()) @ np.array(b["v"].to_list()).T, 12)
+        l, r = np.array(a["v"].to_list()), np.array(b["v"].to_list())
         left_ids, right_ids = a["left_id"].to_numpy(), b["right_id"].to_numpy()
-        if exclude_same:
-            scores[left_ids[:, None] == right_ids[None, :]] = -np.inf
-        n = min(k, len(b))
-        order = np.argsort(-scores, axis=1, kind="stable")[:, :n]  # ties: lowest right id
-        out = pd.DataFrame(
-            {
-                "left_id": np.repeat(left_ids, n),
-                "right_id": right_ids[order].ravel(),
-                "score": np.take_along_axis(scores, order, axis=1).ravel(),
-            }
-        )
-        return out[np.isfinite(out["score"])]
+        whole = np.isfinite(l).all() and np.isfinite(r).all()
+        found = []
+        for begin in range(0, len(l), _ROWS):
+            scores = l[begin : begin + _ROWS] @ r.T
+            if not whole:
+                scores[np.isnan(scores)] = -np.inf
+            if exclude_same:
+                scores[left_ids[begin : begin + _ROWS, None] == right_ids[None, :]] = -np.inf
+            rows, columns, kept = _best_of(scores, min(k, len(b)))
+            found.append(pd.DataFrame({"left_id": left_ids[begin + rows], "right_id": right_ids[columns], "score": kept}))
+        return pd.concat(found)
 
     lt = left.schema["left_id"].dataType.simpleString()
     rt = right.schema["right_id"].dataType.simpleString()

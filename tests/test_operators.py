@@ -5,6 +5,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -223,6 +224,35 @@ def test_frontier_has_no_address_twice(spark):
 # ---- alignment, spelling, metrics ---------------------------------------
 
 
+def test_best_of_a_block_by_full_sort():
+    r = np.random.default_rng(5)
+    for n in (1, 2, 3, 9):
+        scores = np.round(r.normal(size=(300, 9)), 1) + r.choice([0, 1e-14], size=(300, 9))
+        scores[r.random((300, 9)) < 0.2] = -np.inf
+        want = []
+        for i, row in enumerate(np.round(scores, 12)):
+            want += [(i, j, row[j]) for j in np.argsort(-row, kind="stable")[:n] if np.isfinite(row[j])]
+        assert list(zip(*(x.tolist() for x in align._best_of(scores, n)))) == want
+
+
+def test_block_scores_are_held_in_slices(spark, monkeypatch):
+    """A block's whole matrix of scores is never held: no slice has more rows than a worker takes at once."""
+    import tracemalloc
+
+    taken = {}
+    monkeypatch.setattr(align, "_ROWS", 64)
+    rows = pd.DataFrame({"left_id": range(4000), "v": list(np.random.default_rng(1).normal(size=(4000, 8)))})
+    frame_ = spark.createDataFrame([(0, [1.0], 0)], "left_id long, v array<double>, cell int")
+    group = type(frame_.groupBy("cell").cogroup(frame_.groupBy("cell")))
+    monkeypatch.setattr(group, "applyInPandas", lambda self, fn, schema: taken.setdefault("fn", fn))
+    align._block_top(frame_, frame_.withColumnRenamed("left_id", "right_id"), 3, 4096, True)
+    tracemalloc.start()
+    found = taken["fn"]((0,), rows, rows.rename(columns={"left_id": "right_id"}))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 12000 and (found["left_id"] != found["right_id"]).all() and peak < 60_000_000
+
+
 def test_top_matches_against_brute_force(spark):
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(6, 8))
