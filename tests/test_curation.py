@@ -6,6 +6,7 @@ import re
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -243,6 +244,16 @@ def test_entities_without_semicolon_stay_as_written():
     assert links == [{"href": "/q?a=1&copy=2&b=3", "label": "&quo"}]
 
 
+def test_pages_of_a_batch_are_parsed_in_slices(monkeypatch):
+    seen, plain = [], markup._rows
+    monkeypatch.setattr(markup, "_rows", lambda pages: seen.append(len(pages)) or plain(pages))
+    rows = ["<p>a</p><a href=x>b</a>", None, ""] * 100
+    for given in (rows, []):
+        (got,) = markup.page_parts.func(iter([pa.array(given, pa.string())]))
+        assert got.to_pylist() == [{"text": None, "links": []} if p is None else dict(zip(("text", "links"), markup.parts(p))) for p in given]
+    assert seen == [128, 128, 44, 0]
+
+
 def test_markup_of_null_and_in_row_links(spark):
     rows = [(1, "http://h.org/a/", '<p>T</p><a href="x.zip">d</a><a href=/y>e</a><a href="z.csv">f</a>'), (2, "http://h.org/", None), (3, "http://h.org/", "")]
     df = frame(spark, rows, "id int, url string, html string")
