@@ -22,6 +22,8 @@ WORD = f"[{WORD_CLASS}]+"
 # Java's \s is ASCII; Python's also takes NBSP and U+001C..U+001F.
 SPACE_CLASS = r"\s\x1c-\x1f"
 LINE_BREAKS = r"\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}"
+# All other characters, as ranges: Java runs a negated class of several ranges many times slower.
+IN_LINE = r"\x00-\x09\x0e-\x1b\x1f-\x{84}\x{86}-\x{2027}\x{202a}-\x{10ffff}"
 
 
 def normalize_space(text: Column) -> Column:
@@ -29,8 +31,8 @@ def normalize_space(text: Column) -> Column:
 
 
 def class_count(text: Column, chars: str) -> Column:
-    """How many characters fall in the class: drop all others, take the length."""
-    return F.length(F.regexp_replace(text, f"[^{chars}]+", ""))
+    """How many characters fall in the class: by how much the text is shorter without them."""
+    return F.length(text) - F.length(F.regexp_replace(text, f"[{chars}]+", ""))
 
 
 def outside_count(text: Column, chars: str) -> Column:
@@ -107,7 +109,7 @@ def short_token_share(text: Column, longest: int = 2) -> Column:
 
 def line_count(text: Column) -> Column:
     """Lines with something other than white space: one match runs from the first ink to the line's end."""
-    return F.regexp_count(text, F.lit(rf"(?U)[^{SPACE_CLASS}\x{{85}}][^{LINE_BREAKS}]*"))
+    return F.regexp_count(text, F.lit(rf"(?U)[^{SPACE_CLASS}\x{{85}}][{IN_LINE}]*"))
 
 
 def lines(text: Column) -> Column:

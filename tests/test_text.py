@@ -1,6 +1,7 @@
 """Column builders against plain Python on Cyrillic and awkward text."""
 
 import html
+import time
 import unicodedata
 from urllib.parse import quote, urljoin
 
@@ -138,3 +139,29 @@ def test_unicode_and_entities(spark):
 def test_sentences_lose_no_digits_that_name_their_place(spark):
     rows = run(spark, ["0 a.  1 b 1. 22 c\n 3 d 3 ", "00", None], s=tx.sentences(F.col("t")))
     assert [r["s"] for r in rows] == [["0 a.", "1 b 1.", "22 c", "3 d 3"], ["00"], None]
+
+
+def test_class_and_line_counts_cost_about_what_a_plain_scan_does(spark):
+    """A negated class of several ranges took some eight times as long."""
+    df = spark.range(0, 64, 1, 8).select(F.repeat(F.lit("Déjà vu, un mot et l'autre.\n"), 20000).alias("t")).localCheckpoint()
+    t = F.col("t")
+
+    def seconds(c):
+        runs = []
+        for _ in range(3):
+            start = time.perf_counter()
+            df.agg(F.sum(c)).collect()
+            runs.append(time.perf_counter() - start)
+        return min(runs)
+
+    plain = seconds(F.length(tx.normalize_space(t)))
+    assert seconds(tx.class_count(t, tx.LATIN_WIDE)) < 3 * plain
+    assert seconds(tx.line_count(t)) < 3 * plain
+
+
+def test_line_count_at_every_kind_of_break(spark):
+    breaks = ["\n", "\r", "\r\n", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85", "\u2028", "\u2029"]
+    inside = ["\t", "\x1f", "\x84", "\x86", "\u2027", "\u202a", "\uffff", "\U0001f600", "\U0010ffff"]
+    rows = run(spark, [f"a{x}b" for x in breaks + inside], n=tx.line_count(F.col("t")), c=tx.class_count(F.col("t"), tx.LATIN_WIDE))
+    assert [r["n"] for r in rows] == [2] * len(breaks) + [1] * len(inside)
+    assert [r["c"] for r in rows] == [2] * len(rows)
