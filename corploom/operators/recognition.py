@@ -147,11 +147,9 @@ def post_correct(df: DataFrame, text: str, rules: list[tuple[str, str, str]] | N
 
 
 def mixed_script_words(df: DataFrame, text: str, script: str, other: str, *keep: str) -> DataFrame:
-    """Words that hold letters of both scripts."""
-    both = [F.rlike("word", F.lit(f"[{c}]")) for c in (script, other)]
-    mixed = rf"[{tx.WORD_CLASS}]*(?:[{script}][{tx.WORD_CLASS}]*[{other}]|[{other}][{tx.WORD_CLASS}]*[{script}])[{tx.WORD_CLASS}]*"
-    found = F.regexp_extract_all(F.col(text), F.lit(mixed), F.lit(0))
-    return df.select(*keep, F.explode(found).alias("word")).filter(both[0] & both[1])
+    """Words that hold letters of both scripts: words are taken in one scan, then each is looked at by itself."""
+    both = lambda w: F.rlike(w, F.lit(f"[{other}]")) & F.rlike(w, F.lit(f"[{script}]"))
+    return df.select(*keep, F.explode(F.filter(tx.tokens(F.col(text)), both)).alias("word"))
 
 
 # Recording metadata and the consent and publication levels that allow release.

@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import time
 
 import numpy as np
 import pandas as pd
@@ -494,3 +495,14 @@ def test_search_results_number_pages_in_buckets(spark):
     order = {h: sorted(r[0] for r in rows if r[1] == h) for h in expected}
     host_of = {r[0]: r[1] for r in rows}
     assert all(order[host_of[r["page_id"]]][r["n"] - 1] == r["page_id"] for r in numbers.collect())
+
+
+def test_mixed_script_words_are_whole_words_in_one_scan(spark):
+    rows = [("a", "añb cc ñ x1ñ_ zz. éé-aé"), ("a", None), ("b", "plain words"), ("b", "a" * 50000 + " " + "añ")]
+    found = recognition.mixed_script_words(frame(spark, rows, "k string, t string"), "t", "A-Za-z", "À-ÖØ-öø-ÿ", "k")
+    assert sorted(map(tuple, found.collect())) == [("a", "aé"), ("a", "añb"), ("a", "x1ñ_"), ("b", "añ")]
+    # The pattern that held both letters at once went over a long word again from each of its letters.
+    long = spark.createDataFrame([(1, "a" * 50000)], "k int, t string")
+    start = time.perf_counter()
+    assert recognition.mixed_script_words(long, "t", "A-Za-z", "À-ÖØ-öø-ÿ", "k").count() == 0
+    assert time.perf_counter() - start < 10
