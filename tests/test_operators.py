@@ -506,3 +506,27 @@ def test_mixed_script_words_are_whole_words_in_one_scan(spark):
     start = time.perf_counter()
     assert recognition.mixed_script_words(long, "t", "A-Za-z", "À-ÖØ-öø-ÿ", "k").count() == 0
     assert time.perf_counter() - start < 10
+
+
+def test_language_scores_by_lookup_equal_those_of_a_join(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [(i, "".join(rng.choices("abcé я😀1 .", k=rng.randrange(60))), rng.choice(["x", "y", "z"])) for i in range(200)]
+    docs = frame(spark, rows + [(200, None, "x"), (201, "", None), (202, "q", "y")], "id bigint, t string, l string")
+    for width in (2, 3, 5):
+        monkeypatch.setattr(langid, "_SLICE", 1 << 20)
+        profile = langid.profiles(docs.filter("id < 100 and l is not null"), "t", "l", size=40, width=width)
+        counted = docs.filter("id < 100 and l is not null").select("l", F.explode(langid.ngrams(F.col("t"), width)).alias("g"))
+        most = {(r["l"], r["g"]): r["count"] for r in counted.groupBy("l", "g").count().collect()}
+        for lang in ("x", "y", "z"):
+            want = sorted((g for l, g in most if l == lang), key=lambda g: (-most[lang, g], g.encode()))[:40]
+            got = profile.filter(F.col("profile_lang") == lang).orderBy(F.desc("weight")).collect()
+            assert [(r["gram"], r["weight"]) for r in got] == [(g, 40 - i) for i, g in enumerate(want)]
+        quick = langid.identify(docs, "id", "t", "l", profile, width=width)
+        assert "regexp_extract_all" not in quick._jdf.queryExecution().optimizedPlan().toString()
+        monkeypatch.setattr(langid, "BROADCAST_ROWS", 0)
+        joined = langid.identify(docs, "id", "t", "l", profile, width=width).collect()
+        monkeypatch.setattr(langid, "BROADCAST_ROWS", 1000)
+        assert sorted(quick.collect(), key=lambda r: r["id"]) == sorted(joined, key=lambda r: r["id"])
+        monkeypatch.setattr(langid, "_SLICE", 50)
+        again = langid.identify(docs, "id", "t", "l", profile, width=width).collect()
+        assert sorted(again, key=lambda r: r["id"]) == sorted(joined, key=lambda r: r["id"])
