@@ -2,11 +2,23 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corploom.functions import text as tx
 
+# Characters (of both sides) whose n-grams a worker counts at once; a longer pair is a slice of its own.
+_SLICE = 1 << 18
+
+# Functions of this module travel to the workers whole, so these need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Letters with marks and their plain forms.
 MARKED = "àâäáãåçéèêëíìîïñóòôöõúùûüýÿÀÂÄÁÃÅÇÉÈÊËÍÌÎÏÑÓÒÔÖÕÚÙÛÜÝŸӝӟӥӧӵӜӞӤӦӴёЁ"
 PLAIN = "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUYYжзиочЖЗИОЧеЕ"
@@ -87,40 +99,66 @@ def first_difference(pairs: DataFrame, hypothesis: str, reference: str) -> DataF
     )
 
 
-def _grams(text: Column, pattern: str, order: int) -> list[tuple[int, Column]]:
-    """(n, array of n-grams): each order is one linear scan with overlapping matches."""
-    return [(n, F.regexp_extract_all(text, F.lit(pattern.replace("#", str(n - 1))), F.lit(1))) for n in range(1, order + 1)]
+def _units(texts: list[str], words: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, lengths) of the units of texts that follow each other: words between blanks, or characters."""
+    if words:
+        split = [[w for w in t.split(" ") if w] for t in texts]
+        codes = pd.factorize(np.array([w for ws in split for w in ws], dtype=object))[0] if any(split) else np.empty(0, np.int64)
+        return codes.astype(np.int64), np.array([len(ws) for ws in split])
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    return codes.astype(np.int64), np.array([len(t) for t in texts])
 
 
-def _clipped(pairs: DataFrame, row_id: str, hypothesis: Column, reference: Column, pattern: str, order: int) -> DataFrame:
-    """(n, hyp, ref, matched) over all rows.
+def _slice_totals(hypotheses: list[str], references: list[str], order: int, words: bool) -> list[tuple[int, int, int, int]]:
+    """(n, hyp, ref, matched) of some pairs, matches clipped pair by pair.
 
-    Rows are spread by id first; grouping by (id, n, gram) then needs no second shuffle,
-    and only six-odd totals per task travel further.
+    An n-gram is numbered by its first n - 1 units and its last, so numbers stay dense and exact.
     """
-    both = pairs.select(row_id, hypothesis.alias("_h"), reference.alias("_r")).repartition(
-        int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), row_id  # a fixed number: rows grow after it
-    )
-    sides = [
-        F.struct(F.lit(n).alias("n"), F.lit(h).alias("h"), grams.alias("grams"))
-        for column, h in (("_h", 1), ("_r", 0))
-        for n, grams in _grams(F.col(column), pattern, order)
-    ]
-    counts = (
-        both.select(row_id, F.inline(F.array(*sides)))
-        .select(row_id, "n", "h", F.explode("grams").alias("gram"))
-        .groupBy(row_id, "n", "gram")
-        .agg(F.sum("h").alias("h"), F.sum(1 - F.col("h")).alias("r"))
-    )
-    return counts.groupBy("n").agg(
-        F.sum("h").alias("hyp"), F.sum("r").alias("ref"), F.sum(F.least("h", "r")).alias("matched")
-    )
+    codes, lengths = _units(hypotheses + references, words)
+    codes = np.unique(codes, return_inverse=True)[1].astype(np.int64)
+    pair = np.repeat(np.arange(len(lengths)) % len(hypotheses), lengths)
+    is_hyp = np.arange(len(codes)) < lengths[: len(hypotheses)].sum()
+    ends = np.repeat(np.cumsum(lengths), lengths)
+    places, grams, kinds, totals = np.arange(len(codes)), codes, len(codes) + 1, []
+    for n in range(1, order + 1):
+        if n > 1:
+            inside = places + n <= ends[places]
+            places, grams = places[inside], grams[inside]
+            grams = np.unique(grams * kinds + codes[places + n - 1], return_inverse=True)[1].astype(np.int64)
+        _, group = np.unique(pair[places] * kinds + grams, return_inverse=True)
+        side = is_hyp[places]
+        h, r = np.bincount(group[side], minlength=len(places)), np.bincount(group[~side], minlength=len(places))
+        totals.append((n, int(side.sum()), int((~side).sum()), int(np.minimum(h, r).sum())))
+    return totals
+
+
+def _clipped(pairs: DataFrame, hypothesis: Column, reference: Column, order: int, words: bool) -> DataFrame:
+    """(n, hyp, ref, matched) over all rows: n-grams are counted where the pair lies, only totals of slices travel."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            h, r, total, sums = [], [], 0, np.zeros((order, 3), np.int64)
+            for x, y in zip(b["h"], b["r"]):
+                x, y = x or "", y or ""
+                if h and total + len(x) + len(y) > _SLICE:
+                    sums += np.array(_slice_totals(h, r, order, words))[:, 1:]
+                    h, r, total = [], [], 0
+                h.append(x)
+                r.append(y)
+                total += len(x) + len(y)
+            if h:
+                sums += np.array(_slice_totals(h, r, order, words))[:, 1:]
+            yield pd.DataFrame({"n": range(1, order + 1), "hyp": sums[:, 0], "ref": sums[:, 1], "matched": sums[:, 2]})
+
+    counts = pairs.select(hypothesis.alias("h"), reference.alias("r")).mapInPandas(count, "n int, hyp long, ref long, matched long")
+    totals = counts.groupBy("n").agg(F.sum("hyp").alias("hyp"), F.sum("ref").alias("ref"), F.sum("matched").alias("matched"))
+    return totals.filter("hyp + ref > 0")
 
 
 def chrf(pairs: DataFrame, row_id: str, hypothesis: str, reference: str, order: int = 6, beta: float = 2.0) -> DataFrame:
     """Corpus chrF: character n-grams without white space, mean F-beta over the orders, in percent."""
     packed = lambda c: F.regexp_replace(c, rf"(?U)[{tx.SPACE_CLASS}]+", "")
-    totals = _clipped(pairs, row_id, packed(F.col(hypothesis)), packed(F.col(reference)), "(?s)(?=(..{#}))", order)
+    totals = _clipped(pairs, packed(F.col(hypothesis)), packed(F.col(reference)), order, words=False)
     p, r = F.col("matched") / F.greatest("hyp", F.lit(1)), F.col("matched") / F.greatest("ref", F.lit(1))
     b2 = beta * beta
     f = F.when(p + r > 0, (1 + b2) * p * r / (b2 * p + r)).otherwise(F.lit(0.0))
@@ -130,8 +168,7 @@ def chrf(pairs: DataFrame, row_id: str, hypothesis: str, reference: str, order:
 def bleu(pairs: DataFrame, row_id: str, hypothesis: str, reference: str, order: int = 4) -> DataFrame:
     """Corpus BLEU on white-space tokens: clipped precisions, geometric mean, brevity penalty, in percent."""
     spaced = lambda c: tx.normalize_space(F.col(c))
-    pattern = "(?<![^ ])(?=([^ ]+(?: [^ ]+){#}))"
-    totals = _clipped(pairs, row_id, spaced(hypothesis), spaced(reference), pattern, order)
+    totals = _clipped(pairs, spaced(hypothesis), spaced(reference), order, words=True)
     one = totals.agg(
         F.sum(F.when(F.col("n") == 1, F.col("hyp"))).alias("hyp_words"),
         F.sum(F.when(F.col("n") == 1, F.col("ref"))).alias("ref_words"),

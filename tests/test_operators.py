@@ -1,5 +1,6 @@
 """Operators on small fixtures, and brute-force checks where an index or a split join does the work."""
 
+import collections
 import itertools
 import math
 import random
@@ -530,3 +531,30 @@ def test_language_scores_by_lookup_equal_those_of_a_join(spark, monkeypatch):
         monkeypatch.setattr(langid, "_SLICE", 50)
         again = langid.identify(docs, "id", "t", "l", profile, width=width).collect()
         assert sorted(again, key=lambda r: r["id"]) == sorted(joined, key=lambda r: r["id"])
+
+
+def test_scores_of_random_pairs_by_hand(spark, monkeypatch):
+    """N-grams are counted pair by pair in slices: no row a character is made or shuffled, whatever the length."""
+    rng = random.Random(9)
+    line = lambda: "".join(rng.choices("ab é\n😀", k=rng.randrange(40)))
+    rows = [(i, line(), line()) for i in range(60)] + [(60, None, "a b"), (61, "", ""), (62, "ab " * 500, "ba " * 400), (63, "a b é ab a", "a b é ab a")]
+    df = frame(spark, rows, "id bigint, h string, r string")
+    units = {"chrf": lambda s: list("".join((s or "").split())), "bleu": lambda s: (s or "").split()}
+
+    def totals(n, name):
+        grams = lambda s: collections.Counter(tuple(u[i : i + n]) for u in [units[name](s)] for i in range(len(u) - n + 1))
+        sides = [(grams(h), grams(r)) for _, h, r in rows]
+        return [sum(sum(x.values()) for x in side) for side in zip(*sides)] + [sum(((h & r).total()) for h, r in sides)]
+
+    for size in (1 << 18, 64):
+        monkeypatch.setattr(metrics, "_SLICE", size)
+        f = [5 * (m / h) * (m / r) / (4 * m / h + m / r) for h, r, m in (totals(n, "chrf") for n in range(1, 7))]
+        got = metrics.chrf(df, "id", "h", "r")
+        assert "Generate" not in got._jdf.queryExecution().optimizedPlan().toString()
+        assert got.first()["chrf"] == pytest.approx(100 * sum(f) / 6, abs=1e-4)
+        assert got.first()["matched_ngrams"] == sum(totals(n, "chrf")[2] for n in range(1, 7))
+        counts = [totals(n, "bleu") for n in range(1, 5)]
+        score = metrics.bleu(df, "id", "h", "r").first()
+        assert (score["hyp_words"], score["ref_words"]) == tuple(counts[0][:2])
+        brevity = min(1.0, math.exp(1 - counts[0][1] / counts[0][0]))
+        assert score["bleu"] == pytest.approx(100 * brevity * math.exp(sum(math.log(m / h) for h, _, m in counts) / 4), abs=1e-4)
