@@ -255,6 +255,42 @@ def test_block_scores_are_held_in_slices(spark, monkeypatch):
     assert len(found) == 12000 and (found["left_id"] != found["right_id"]).all() and peak < 60_000_000
 
 
+@pytest.mark.parametrize("single", [0, 40, 1 << 21])
+def test_best_pairs_by_full_scores(monkeypatch, single):
+    """Slices, ties, copies and floors: what single precision rules out is never among the best."""
+    r = np.random.default_rng(8)
+    monkeypatch.setattr(align, "_ROWS", 32)
+    monkeypatch.setattr(align, "_COLUMNS", 50)
+    monkeypatch.setattr(align, "_SINGLE", single)
+    right = r.normal(size=(333, 8))
+    right[100:160] = right[7] + 1e-9 * r.integers(0, 2, (60, 1))
+    right = align._unit(pd.Series(list(right)))
+    left, ids = right[::3], np.arange(333)
+    for n in (1, 3):
+        for floor in (-np.inf, 0.8):
+            scores = np.round(left @ right.T, 12)
+            scores[ids[::3, None] == ids[None, :]] = -np.inf
+            want = [(i, j, row[j]) for i, row in enumerate(scores) for j in np.argsort(-row, kind="stable")[:n] if row[j] >= floor and np.isfinite(row[j])]
+            got = align._best_pairs(left, right, ids[::3], ids, np.full(len(left), floor), n, True)
+            assert [(i, j) for i, j, _ in want] == list(zip(*(x.tolist() for x in got[:2])))
+            assert np.abs(got[2] - np.array([w[2] for w in want])).max() < 1e-11
+
+
+def test_pairs_below_a_floor_stay_in_their_task(spark):
+    """A block returns what can still win, and rows travel in the type they came in."""
+    v = np.random.default_rng(6).normal(size=(120, 8)).astype("f4")
+    table = lambda name: frame(spark, [(i, [float(x) for x in m], 0) for i, m in enumerate(v)], f"{name} bigint, v array<float>, cell int")
+    left = table("left_id").withColumn("floor", F.when(F.col("left_id") > 0, F.lit(0.7)))
+    got = align._block_top(left, table("right_id"), 3, 50, True).collect()
+    unit = v / np.linalg.norm(v.astype(float), axis=1, keepdims=True)
+    sim = unit @ unit.T
+    assert all(r["score"] >= 0.7 for r in got if r["left_id"]) and sum(r["left_id"] == 0 for r in got) == 9
+    best = [(i, int(j)) for i in range(1, 120) for j in [j for j in np.argsort(-sim[i]) if j != i][:3] if sim[i, j] >= 0.7]
+    assert set(best) <= {(r["left_id"], r["right_id"]) for r in got}
+    pivots = spark.sparkContext.broadcast(align._pivots(left, "left_id", "v", 4))
+    assert align._placed(left, "left_id", "v", pivots, "left").schema["v"].dataType.simpleString() == "array<float>"
+
+
 def test_top_matches_against_brute_force(spark):
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(6, 8))
