@@ -2,11 +2,24 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corploom.functions import text as tx
-from corploom.operators.lookup import lookup
+from corploom.operators.lookup import BROADCAST_ROWS, lookup, settled
+
+# Words that a worker replaces at once; a longer text is a slice of its own.
+_SLICE = 1 << 18
+
+# Functions of this module travel to the workers whole, so these need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def words(df: DataFrame, text: str, script: str, *keep: str, at_least: int = 3) -> DataFrame:
@@ -219,21 +232,62 @@ def standardise(found: DataFrame, variants: DataFrame, mapping: tuple[str, str]
     )
 
 
-def translate_by_dictionary(segments: DataFrame, text: str, row_id: str, dictionary: DataFrame) -> DataFrame:
-    """Word-for-word baseline: known words replaced, unknown ones kept and counted.
-
-    Only the places of known words are gathered per row; a row without words keeps its row.
+def _replaced(rows: DataFrame, row_id: str, words: str, dictionary: DataFrame) -> DataFrame:
+    """(row_id, translation, words, known_words) where the words lie, by a dictionary short enough to be broadcast."""
+    entries = rows.sparkSession.sparkContext.broadcast(dictionary.toArrow())
+
+    def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, values = (pa.array(entries.value[c].combine_chunks(), pa.string()) for c in ("word", "translation"))
+        for batch in batches:
+            for part in _slices(batch):
+                listed = part.column(1)
+                found = pc.index_in(listed.flatten(), value_set=keys)
+                known = found.is_valid()
+                offsets = listed.offsets.to_numpy() - listed.offsets[0].as_py()
+                new = pc.coalesce(values.take(found), listed.flatten())
+                hits = np.concatenate([[0], np.cumsum(known.to_numpy(zero_copy_only=False), dtype=np.int64)])[offsets]
+                joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), new), " ")
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), joined, pa.array(np.diff(offsets), pa.int64()), pa.array(np.diff(hits), pa.int64())],
+                    [row_id, "translation", "words", "known_words"],
+                )
+
+    kind = rows.schema[row_id].dataType.simpleString()
+    return rows.select(row_id, words).mapInArrow(replace, f"{row_id} {kind}, translation string, words long, known_words long")
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about `_SLICE` words; a longer row is a slice of its own."""
+    offsets = batch.column(1).offsets.to_numpy()
+    begin = 0
+    while begin < batch.num_rows:
+        end = max(begin + 1, int(np.searchsorted(offsets, offsets[begin] + _SLICE, "right")) - 1)
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
+def translate_by_dictionary(
+    segments: DataFrame, text: str, row_id: str, dictionary: DataFrame, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Word-for-word baseline: known words replaced, unknown ones kept and counted; a row without words keeps its row.
+
+    A dictionary of few rows goes to where the texts lie. Of a longer one, the places of
+    known words are gathered per row.
     """
+    dictionary = settled(dictionary.select("word", "translation").filter("word is not null and translation is not null"))
+    found = F.coalesce(tx.tokens(F.lower(F.col(text))), F.array().cast("array<string>"))
+    if dictionary.count() <= broadcast_rows:
+        return _replaced(segments.select(row_id, found.alias("_words")), row_id, "_words", dictionary)
     split = segments.select(row_id, F.posexplode(tx.tokens(F.lower(F.col(text)))).alias("pos", "word"))
     counts = split.groupBy("word").agg(F.count("*").alias("n"))
-    entries = counts.join(dictionary.select("word", "translation"), "word")
+    entries = counts.join(dictionary, "word")
     placed = lookup(split, entries, "word", F.concat_ws(":", row_id, "pos"), "n")
     hits = placed.filter(F.col("translation").isNotNull()).groupBy(row_id).agg(
         F.map_from_entries(F.collect_set(F.struct("pos", "translation"))).alias("_known")
     )
     joined = segments.select(row_id, text).join(hits, row_id, "left")
     known = F.coalesce("_known", F.create_map().cast("map<int,string>"))
-    rows = joined.select(row_id, known.alias("_known"), F.coalesce(tx.tokens(F.lower(F.col(text))), F.array().cast("array<string>")).alias("_words"))
+    rows = joined.select(row_id, known.alias("_known"), found.alias("_words"))
     return rows.select(
         row_id,
         F.array_join(F.transform("_words", lambda w, i: F.coalesce(F.try_element_at("_known", i), w)), " ").alias("translation"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corploom.functions import text as tx
@@ -172,18 +172,21 @@ SELECT unk.word, count, coalesce(candidates, '') AS candidates, 'pending' AS dec
   CASE WHEN count = 1 THEN 'once' WHEN count <= 5 THEN 'rare' ELSE 'common' END AS band FROM unk LEFT JOIN b USING (word)"""
 
 
+def _marked(freq: DataFrame) -> DataFrame:
+    """(variant, standard): words written with marks whose plain form occurs as well and more often.
+
+    Plain forms hold no marks, so a word and its plain form share their group.
+    """
+    plain = metrics.unmarked(F.col("word"))
+    standard = F.max(F.when(F.col("word") == plain, F.col("count"))).over(Window.partitionBy("standard"))
+    grouped = freq.withColumn("standard", plain).withColumn("standard_count", standard)
+    return grouped.filter("standard <> word AND standard_count > count").select(F.col("word").alias("variant"), "standard")
+
+
 def variants(spark: SparkSession, d: str) -> DataFrame:
     """Each word written with marks is a variant of its plain form if that occurs as well and more often."""
     freq = frequency_dictionary(spark, d)
-    plain = freq.select(F.col("word").alias("standard"), F.col("count").alias("standard_count"))
-    pairs = (
-        freq.withColumn("standard", metrics.unmarked(F.col("word")))
-        .filter("standard <> word")
-        .join(plain, "standard")
-        .filter("standard_count > count")
-        .select(F.col("word").alias("variant"), "standard")
-    )
-    return spell.standardise(freq, pairs, ("ç", "c")).select("word", "count", "form", "kind")
+    return spell.standardise(freq, _marked(freq), ("ç", "c")).select("word", "count", "form", "kind")
 
 
 _FOLD = "translate({}, '" + metrics.MARKED + "', '" + metrics.PLAIN + "')"
@@ -349,7 +352,7 @@ SELECT hw::BIGINT AS hyp_words, rw::BIGINT AS ref_words,
 
 def dictionary_mt(spark: SparkSession, d: str) -> DataFrame:
     """Word-for-word output per document; the dictionary maps marked words to their standard forms."""
-    pairs = variants(spark, d).filter("kind = 'normalisation'").select("word", F.col("form").alias("translation"))
+    pairs = _marked(frequency_dictionary(spark, d)).toDF("word", "translation")
     out = spell.translate_by_dictionary(documents(spark, d), "text", "doc_id", pairs)
     return out.select("doc_id", F.md5("translation").alias("translation_hash"), "words", "known_words")
 

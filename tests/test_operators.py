@@ -16,6 +16,7 @@ from corploom.functions import text as tx
 from corploom.operators import (
     align, catalog, components, dedup, langid, lookup, metrics, packages, pages, quality, recognition, snapshots, spell, split,
 )
+from corploom.plans import spelling
 from corploom.sources import files, landed, seed
 
 
@@ -463,6 +464,34 @@ def test_rows_without_lines_or_words_keep_their_row(spark):
     assert out == {1: ("", 0, 0), 2: ("", 0, 0), 3: ("", 0, 0), 4: ("gleich own", 2, 1), 5: ("gleich other", 2, 1)}
 
 
+def test_translation_is_made_where_the_text_lies(spark, monkeypatch):
+    """A short dictionary moves no text; a long one gives the same rows."""
+    monkeypatch.setattr(spell, "_SLICE", 7)
+    r = random.Random(2)
+    texts = [None, "", "...", "Ä a", *(" ".join(r.choice(["Ä", "b", "ça", "d1", "é.f"]) for _ in range(r.randrange(12))) for _ in range(60))]
+    df = frame(spark, list(enumerate(texts)), "id bigint, t string")
+    pairs = frame(spark, [("ä", "a"), ("ça", "ca ca"), ("é", ""), ("b", None), (None, "x"), ("zz", "y")], "word string, translation string")
+    short = spell.translate_by_dictionary(df, "t", "id", pairs)
+    plan = short._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    got = {tuple(x) for x in short.collect()}
+    assert got == {tuple(x) for x in spell.translate_by_dictionary(df, "t", "id", pairs, broadcast_rows=0).collect()}
+    table, want = {"ä": "a", "ça": "ca ca", "é": ""}, set()
+    for i, t in enumerate(texts):
+        words = (t or "").lower().replace(".", " ").split()
+        want.add((i, " ".join(table.get(w, w) for w in words), len(words), sum(w in table for w in words)))
+    assert got == want
+    assert spell.translate_by_dictionary(df, "t", "id", pairs.limit(0)).filter("known_words > 0").count() == 0
+
+
+def test_marked_words_are_counted_once(spark):
+    """Each variant with its standard, from one count of the words."""
+    freq = frame(spark, [("ca", 5), ("ça", 2), ("cä", 5), ("é", 1), ("çà", 4), ("x", 9)], "word string, count bigint")
+    marked = spelling._marked(freq)
+    assert {tuple(x) for x in marked.collect()} == {("ça", "ca"), ("çà", "ca")}
+    assert "Join" not in marked._jdf.queryExecution().executedPlan().toString()
+
+
 def test_texts_without_words_are_no_group(spark):
     df = spark.createDataFrame([(1, "...", "a"), (2, "!!", "a"), (3, "one two three four", "a"), (4, "one two three four", "b")], "doc_id long, text string, source string")
     assert {r["doc_id"] for r in dedup.near_duplicates(df, "text", "doc_id", "source").collect()} == {3, 4}
