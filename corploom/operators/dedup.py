@@ -8,15 +8,16 @@ from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corploom.functions import text as tx
-from corploom.operators.bitfilter import join_hits
+from corploom.operators.bitfilter import bit_table, bits_for, join_hits, may_hold
 from corploom.operators.components import components, connected
-from corploom.operators.lookup import lookup, settled
+from corploom.operators.lookup import BROADCAST_ROWS, lookup, settled
 
 # Functions of this module travel to the workers whole, so these need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -94,6 +95,11 @@ PRIME = (1 << 31) - 1
 _SLICE = 1 << 16
 # Rows and shingles of a band up to which one task finishes what its first leader left.
 BAND_ROWS, BAND_VALUES = 1000, 1 << 18
+# Rows that meet one copy of their leader's text.
+LEADER_ROWS = 1000
+# What bytes, their places in a word and the places of words in a shingle are multiplied with.
+_BYTES = np.random.default_rng(20240101).integers(1, 1 << 63, 256, dtype=np.uint64)
+_BASE, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def hash_family(n: int) -> list[tuple[int, int]]:
@@ -118,6 +124,40 @@ def _shingle_hashes(joined: str, width: int) -> np.ndarray:
     return np.frombuffer(b"".join([md5(raw[i:j]).digest()[:8] for i, j in places]), ">u8").astype(np.uint64)
 
 
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    out = np.full(n, base)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    """Spread every bit of a hash over all others."""
+    for shift, factor in ((31, 0x7FB5D329728EA185), (27, 0x81DADEF4BC2DD44D)):
+        h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
+    return h ^ (h >> np.uint64(33))
+
+
+def _shingle_set(joined: str, width: int) -> np.ndarray:
+    """The different shingles of a text whose words are joined by one space, as sorted 64-bit hashes, without an object per word."""
+    raw = np.frombuffer(joined.encode(), np.uint8)
+    spaces = np.flatnonzero(raw == 32)
+    starts, ends = np.concatenate(([0], spaces + 1)), np.concatenate((spaces, [len(raw)]))
+    words = np.empty(len(starts), np.uint64)
+    for at in range(0, len(starts), _SLICE):
+        first, last = starts[at : at + _SLICE], ends[at : at + _SLICE]
+        sizes = last - first
+        piece = raw[first[0] : last[-1]]
+        letters = _BYTES[piece[piece != 32]]
+        firsts = np.cumsum(sizes) - sizes
+        letters *= _powers(_BASE, sizes.max())[np.arange(len(letters)) - np.repeat(firsts, sizes)]
+        words[at : at + _SLICE] = _mixed(np.add.reduceat(letters, firsts))
+    width = min(width, len(words))
+    runs = np.zeros(len(words) - width + 1, np.uint64)
+    for i, factor in enumerate(_powers(_STEP, width)):
+        runs += words[i : i + len(runs)] * factor
+    return np.unique(_mixed(runs))
+
+
 def _minima(hashes: np.ndarray, firsts: list[int], family: list[tuple[int, int]]) -> np.ndarray:
     """One row per text, whose hashes begin at `firsts`: the least value under each function of the family."""
     prime = np.uint64(PRIME)
@@ -132,16 +172,19 @@ def _minima(hashes: np.ndarray, firsts: list[int], family: list[tuple[int, int]]
 
 
 def minhash_signatures(
-    df: DataFrame, keys: list[str], text: str, bands: int, rows: int, width: int, with_sets: bool = False
+    df: DataFrame, keys: list[str], text: str, bands: int, rows: int, width: int, with_sets: bool = False, with_digests: bool = False
 ) -> DataFrame:
     """(keys..., band_keys): `bands * rows` minima per row in one pass over the texts, without a shuffle.
 
-    `with_sets` adds `set`, the different shingles of the row as 64-bit hashes. A text without words gives no row.
+    `with_sets` adds `set`, the different shingles of the row as 64-bit hashes; `with_digests` only their number,
+    `values`, and a `digest` of 64 bits that equal sets share. A text without words gives no row.
     """
     family = hash_family(bands * rows)
     schema = T.StructType([*df.select(*keys).schema.fields, T.StructField("band_keys", T.ArrayType(T.StringType()))])
     if with_sets:
         schema.add("set", T.ArrayType(T.LongType()))
+    if with_digests:
+        schema.add("values", T.LongType()).add("digest", T.LongType())
 
     def signed(batch: pa.RecordBatch, places: list[int], hashes: list[np.ndarray]) -> pa.RecordBatch:
         firsts = np.cumsum([0, *[len(h) for h in hashes[:-1]]]).tolist()
@@ -153,6 +196,10 @@ def minhash_signatures(
             sets = [np.unique(h).view(np.int64) for h in hashes]
             ends = np.cumsum([0, *[len(s) for s in sets]])
             columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets))))
+        if with_digests:
+            sets = [np.unique(h) for h in hashes]
+            columns.append(pa.array([len(s) for s in sets], pa.int64()))
+            columns.append(pa.array([int.from_bytes(md5(s.tobytes()).digest()[:8], "big", signed=True) for s in sets], pa.int64()))
         return pa.RecordBatch.from_arrays(columns, schema.names)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,19 +266,97 @@ def _settled_round(df: DataFrame) -> DataFrame:
     return DataFrame(df.sparkSession._jsparkSession.createDataFrame(kept.toJavaRDD(), kept.schema()), df.sparkSession)
 
 
-def _within_bands(rows: DataFrame, row_id: str, least: float) -> DataFrame:
-    """(row_id, leader, similarity) for the rows of short bands (row_id, band, set), led by the lowest left, until none is."""
+def _texts_of(texts: DataFrame, listed: DataFrame, key: str, n: int) -> DataFrame:
+    """The words of each row that `listed` (settled or narrow, at most `n` rows) names by `key`; only these texts leave the scan."""
+    row_id, text = texts.columns
+    listed = listed.withColumnRenamed(key, row_id)
+    if n <= BROADCAST_ROWS:
+        met = texts.join(F.broadcast(listed), row_id)
+    else:
+        hashes = settled(listed.select(F.xxhash64(row_id).alias("_h")))
+        bits = bits_for(hashes)
+        met = texts.filter(may_hold(bit_table(hashes, "_h", bits), F.xxhash64(row_id), bits)).join(listed, row_id)
+    return met.select(*listed.columns, tx.joined_words(F.col(text)).alias("words")).withColumnRenamed(row_id, key)
+
+
+def _inner(own: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Tells for each value whether the sorted set holds it."""
+    return own[np.minimum(np.searchsorted(own, values), len(own) - 1)] == values
+
+
+def _judged(texts: DataFrame, pairs: DataFrame, n: int, least: float, width: int) -> DataFrame:
+    """(row_id, leader, similarity) of the different pairs (row_id, leader), at most `n`, that are similar enough.
+
+    Texts travel, not sets, which are longer: a row's once a pair, a leader's once for each LEADER_ROWS of its rows.
+    """
+    row_id = texts.columns[0]
+    load = pairs.groupBy("leader").agg(F.count("*").alias("_n")).withColumn("slices", F.ceil(F.col("_n") / LEADER_ROWS))
+    placed = lookup(pairs, load, "leader", F.col(row_id), "_n").select(
+        row_id, "leader", F.pmod(F.xxhash64(row_id, "leader"), "slices").alias("slice")
+    )
+    copies = load.select("leader", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1)).alias("slice"))
+    leading = _texts_of(texts, copies, "leader", n).withColumnRenamed("words", "leader_words")
+    both = _texts_of(texts, placed, row_id, n).join(leading, ["leader", "slice"])
+    schema = T.StructType([*both.select(row_id, "leader").schema.fields, T.StructField("similarity", T.DoubleType())])
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, own = "", None
+        for batch in batches:
+            places, scores = [], []
+            for place in range(batch.num_rows):
+                words, other = batch.column(2)[place].as_py(), batch.column(3)[place].as_py()
+                if not (words and other):
+                    continue
+                if other != held:
+                    held, own = other, _shingle_set(other, width)
+                values = _shingle_set(words, width)
+                inner = int(_inner(own, values).sum())
+                if (score := inner / (len(values) + len(own) - inner)) >= least:
+                    places.append(place)
+                    scores.append(score)
+            taken = pa.array(places, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(taken), batch.column(1).take(taken), pa.array(scores, pa.float64())], schema.names)
+
+    return both.select(row_id, "leader", "words", "leader_words").mapInArrow(judge, schema)
+
+
+def _different_bands(rows: DataFrame, row_id: str) -> DataFrame:
+    """`rows` (settled, different in `row_id` and band) without the bands of one row and those that hold the rows of another: these give the same links.
+
+    A band's rows are told by their number, their lowest and two 64-bit sums of hashes.
+    """
+    sums = [F.bit_xor(F.xxhash64(F.lit(i), row_id)).alias(f"_sum{i}") for i in range(2)]
+    held = rows.groupBy("band").agg(F.count("*").alias("_n"), F.min(row_id).alias("_low"), *sums).filter("_n > 1")
+    one = held.groupBy("_n", "_low", "_sum0", "_sum1").agg(F.min("band").alias("band")).select("band", "_n", F.lit(True).alias("_one"))
+    return lookup(rows, one, "band", F.col(row_id), "_n").filter("_one").drop("_one")
+
+
+def _fits(least: float, *spans: tuple[str, str]) -> Column:
+    """Whether sets of these spans of sizes (least, most) can be similar enough; the smaller may lie in the larger."""
+    (low, high), (other_low, other_high) = spans
+    return F.least(high, other_high) / F.greatest(low, other_low) >= least
+
+
+def _parted_by_size(rows: DataFrame, row_id: str, least: float) -> DataFrame:
+    """Short bands cut where the next larger set is too large for all smaller ones: no pair across the cut can be similar enough."""
+    below = Window.partitionBy("band").orderBy("low", row_id)
+    before = F.max("high").over(below.rowsBetween(Window.unboundedPreceding, -1))
+    cut = rows.withColumn("_cut", F.coalesce((before / F.col("low") < least).cast("int"), F.lit(0)))
+    return cut.select(row_id, F.xxhash64("band", F.sum("_cut").over(below)).alias("band"))
+
+
+def _within_bands(rows: DataFrame, row_id: str, least: float, width: int) -> DataFrame:
+    """(row_id, leader, similarity) for the rows of short bands (row_id, band, words), led by the lowest left, until none is."""
     kind = rows.schema[row_id].dataType.simpleString()
 
     def finish(band: pa.Table) -> pa.Table:
-        band = band.sort_by(row_id)
-        sets = [np.sort(s.values.to_numpy()) for s in band.column("set")]
-        at, sizes, values = np.arange(len(sets)), np.array([len(s) for s in sets]), np.concatenate(sets)
-        led, leaders, scores = [], [], []
+        band = band.filter(pc.fill_null(pc.not_equal(band.column("words"), ""), False)).sort_by(row_id)
+        sets = [_shingle_set(words.as_py(), width) for words in band.column("words")]
+        at, sizes, values = np.arange(len(sets)), np.array([len(s) for s in sets]), np.concatenate([*sets, np.empty(0, np.uint64)])
+        led, leaders, scores = [at[:0]], [at[:0]], [np.empty(0)]
         while len(at) > 1:
             own, head, at, sizes, values = sets[at[0]], at[0], at[1:], sizes[1:], values[sizes[0] :]
-            near = np.minimum(np.searchsorted(own, values), len(own) - 1)
-            inner = np.add.reduceat((own[near] == values).astype(np.int64), np.cumsum(sizes) - sizes)
+            inner = np.add.reduceat(_inner(own, values).astype(np.int64), np.cumsum(sizes) - sizes)
             score = inner / (sizes + len(own) - inner)
             linked = score >= least
             led.append(at[linked])
@@ -261,48 +386,55 @@ def verified_duplicates(
 
     A pair at similarity s meets in a band with 1 - (1 - s**rows)**bands (0.9996 at 0.8). Rows without words
     are in no group. A row in no group of two or more is left out.
+
+    Shingles are never kept or shuffled: they take several times the room of their text. Signatures, sizes and ids tell which
+    pairs to compare, and the texts of these alone travel, once a pair. Bands that hold the same rows are one band.
     """
-    signed = settled(minhash_signatures(df, [row_id, source], text, bands, rows, width, True))
-    sets = signed.select(row_id, source, "set", F.xxhash64("set", F.reverse("set")).alias("digest"))
+    signed = minhash_signatures(df, [row_id, source], text, bands, rows, width, False, True)
+    signed = settled(signed.select(row_id, source, "digest", "values", F.transform("band_keys", lambda b: F.xxhash64(b)).alias("bands")))
+    texts = df.select(row_id, text)
     # 1. Rows with equal sets: the lowest stands for all.
-    firsts = settled(sets.groupBy("digest").agg(F.min(row_id).alias("head"), F.count("*").alias("_n")))
+    firsts = settled(signed.groupBy("digest").agg(F.min(row_id).alias("head"), F.count("*").alias("_n")))
     heads = firsts.select(F.col("head").alias(row_id))
-    # 2. Groups of heads by band; a band of one row proposes nothing.
-    placed = signed.join(heads, row_id, "left_semi").select(row_id, F.size("set").alias("values"), F.explode("band_keys").alias("band"))
+    # 2. Groups of heads by band; a band of one row proposes nothing. An id that comes again has the bands of all its texts.
+    spans = [F.min("values").alias("low"), F.max("values").alias("high")]
+    whole = signed.join(heads, row_id, "left_semi").groupBy(row_id).agg(*spans, F.flatten(F.collect_list("bands")).alias("bands"))
+    placed = whole.select(row_id, "low", "high", F.explode(F.array_distinct("bands")).alias("band"))
     shared = placed.groupBy("band").agg(F.count("*").alias("_n")).filter("_n > 1").withColumn("_shared", F.lit(True))
-    left = settled(lookup(placed, shared, "band", F.col(row_id), "_n").filter("_shared").select(row_id, "values", "band"))
-    members = settled(sets.join(left.select(row_id).distinct(), row_id, "left_semi").select(row_id, "set"))
-    links = None
+    left = settled(lookup(placed, shared, "band", F.col(row_id), "_n").filter("_shared").drop("_shared"))
+    left = settled(_different_bands(left, row_id))
+    links = short = None
     while left.limit(1).count():
-        leaders = left.groupBy("band").agg(F.min(row_id).alias("leader"), F.count("*").alias("_n")).filter("_n > 1")
+        first = F.min(F.struct(row_id, "low", "high"))
+        leaders = left.groupBy("band").agg(first.alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
+        leaders = leaders.select("band", "_n", F.col(f"_first.{row_id}").alias("leader"), F.col("_first.low").alias("_low"), F.col("_first.high").alias("_high"))
         asked = lookup(left, leaders, "band", F.col(row_id), "_n").filter(F.col("leader").isNotNull() & (F.col(row_id) != F.col("leader")))
-        asked = _settled_round(asked)
-        pairs = asked.select(row_id, "leader").distinct()
-        with_own = pairs.join(members, row_id)
-        load = pairs.groupBy("leader").agg(F.count("*").alias("_n"))
-        leading = load.join(members.select(F.col(row_id).alias("leader"), F.col("set").alias("leader_set")), "leader")
-        both = lookup(with_own, leading, "leader", F.col(row_id), "_n", broadcast_rows=1000)
-        inner = F.size(F.array_intersect("set", "leader_set"))
-        score = inner / (F.size("set") + F.size("leader_set") - inner)
-        judged = both.select(row_id, "leader", score.alias("similarity")).filter(F.col("similarity") >= least)
-        judged = _settled_round(judged)
+        fits = _fits(least, ("low", "high"), ("_low", "_high"))
+        asked = _settled_round(asked.withColumn("_fits", fits).drop("_low", "_high"))
+        pairs = asked.filter("_fits").select(row_id, "leader").distinct()
+        judged = _settled_round(_judged(texts, pairs, asked.filter("_fits").count(), least, width))
         links = judged if links is None else links.unionByName(judged)
-        rest = asked.join(judged.select(row_id, "leader"), [row_id, "leader"], "left_anti").select(row_id, "values", "band")
+        rest = asked.join(judged.select(row_id, "leader"), [row_id, "leader"], "left_anti").select(row_id, "low", "high", "band")
         rest = _settled_round(rest)
-        load = rest.groupBy("band").agg(F.count("*").alias("_n"), F.sum("values").alias("_values")).filter("_n > 1")
+        load = rest.groupBy("band").agg(F.count("*").alias("_n"), F.sum("high").alias("_values")).filter("_n > 1")
         few = load.select("band", "_n", ((F.col("_n") <= BAND_ROWS) & (F.col("_values") <= BAND_VALUES)).alias("_few"))
-        marked = _settled_round(lookup(rest, few, "band", F.col(row_id), "_n").filter(F.col("_few").isNotNull()))
-        links = links.unionByName(_within_bands(marked.filter("_few").select(row_id, "band").join(members, row_id), row_id, least))
+        marked = lookup(rest, few, "band", F.col(row_id), "_n").filter(F.col("_few").isNotNull())
+        ending = marked.filter("_few").drop("_few")
+        short = ending if short is None else short.unionByName(ending)
         left = marked.filter("not _few").drop("_few")
     if links is None:
         links = pairs_of_none(df, row_id)
+    else:
+        short = settled(_different_bands(settled(_parted_by_size(short, row_id, least)), row_id))
+        ending = _texts_of(texts, short, row_id, short.count())
+        links = links.unionByName(_within_bands(ending, row_id, least, width))
     links = settled(links.groupBy(row_id, "leader").agg(F.max("similarity").alias("similarity")))
     # 3. Groups of heads, then of all rows.
     named = components(links, row_id, "leader").withColumnRenamed("id", "head").withColumnRenamed("label", "group")
     ends = links.select(F.col(row_id).alias("head"), "similarity").unionByName(links.select(F.col("leader").alias("head"), "similarity"))
     best = ends.groupBy("head").agg(F.max("similarity").alias("similarity"))
     grouped = firsts.join(named.join(best, "head"), "head", "left").withColumn("group", F.coalesce("group", "head"))
-    narrow = sets.select(row_id, source, "digest")
+    narrow = signed.select(row_id, source, "digest")
     rows_ = lookup(narrow, grouped.select("digest", "group", F.col("similarity").alias("linked"), "_n", (F.col("_n") > 1).alias("copied")), "digest", F.col(row_id), "_n")
     sized = settled(rows_)
     sizes = sized.groupBy("group").agg(F.count("*").alias("group_size")).filter("group_size > 1")

@@ -197,6 +197,73 @@ def test_verified_duplicates_of_a_band_of_strangers(spark, monkeypatch, band_row
     assert max(sizes) < 200
 
 
+@pytest.mark.parametrize("limits", [(1000, 1000, 1_000_000), (3, 2, 0)])
+def test_verified_duplicates_by_brute_force(spark, monkeypatch, limits):
+    """Bands that hold the same rows, sets of very different sizes, hot leaders and lists too long to broadcast give the links of the plain process."""
+    for name, value in zip(("BAND_ROWS", "LEADER_ROWS", "BROADCAST_ROWS"), limits):
+        monkeypatch.setattr(dedup, name, value)
+    r = random.Random(3)
+    rows = []
+    for i in range(36):
+        words = [f"f{i % 4}x{j}" for j in range(r.choice([12, 13, 40, 41, 90]))]
+        words[r.randrange(len(words))] = f"y{i}"
+        rows.append((i, " ".join(words), "s"))
+    names = lambda i: {"a", f"b{i % 5}", f"c{i % 5}", f"d{i // 9}"}
+    keys = [F.lit("a"), F.concat(F.lit("b"), F.col("id") % 5), F.concat(F.lit("c"), F.col("id") % 5), F.concat(F.lit("d"), F.floor(F.col("id") / 9))]
+    plain = dedup.minhash_signatures
+    monkeypatch.setattr(dedup, "minhash_signatures", lambda *a: plain(*a).withColumn("band_keys", F.array(*keys)))
+    got = dedup.verified_duplicates(frame(spark, rows, "id bigint, t string, s string"), "t", "id", "s", 0.6, width=2).collect()
+    sets = {i: shingle_set(t, 2) for i, t, _ in rows}
+    score = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    links = {}
+    for band in set().union(*map(names, sets)):
+        left = sorted(i for i in sets if band in names(i))
+        while left:
+            lead, *left = left
+            links.update({(lead, i): score(lead, i) for i in left if score(lead, i) >= 0.6})
+            left = [i for i in left if (lead, i) not in links]
+    group = {i: i for i in sets}
+    for _ in sets:
+        for a, b in links:
+            group[a] = group[b] = min(group[a], group[b])
+    best = {i: max(s for link, s in links.items() if i in link) for i in sets if any(i in link for link in links)}
+    assert len(set(group.values())) > 4 and any(s < 0.8 for s in links.values())
+    assert {x["id"]: (x["removed_by"], round(x["similarity"], 9)) for x in got} == {i: (group[i], round(s, 9)) for i, s in best.items()}
+    assert len(got) == len(best)
+
+
+def test_verified_duplicates_keep_no_sets(spark, monkeypatch):
+    """All that is kept on the way takes less room than the texts."""
+    r = random.Random(5)
+    texts = [" ".join(f"w{r.randrange(100_000)}" for _ in range(3000)) for _ in range(12)]
+    rows = [(i, t, "s") for i, t in enumerate(texts)] + [(12 + i, t + " end", "s") for i, t in enumerate(texts)]
+    settled, made = dedup.settled, []
+
+    def kept(df):
+        made.append(settled(df))
+        return made[-1]
+
+    monkeypatch.setattr(dedup, "settled", kept)
+    got = dedup.verified_duplicates(frame(spark, rows, "id bigint, t string, s string"), "t", "id", "s").collect()
+    assert {(x["id"], x["removed_by"]) for x in got} == {(i, i % 12) for i in range(24)}
+    size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
+    assert sum(df.agg(size).first()[0] for df in made) < sum(len(t) for _, t, _ in rows)
+
+
+def test_shingle_sets_by_brute_force(monkeypatch):
+    monkeypatch.setattr(dedup, "_SLICE", 5)
+    r = random.Random(2)
+    texts = [" ".join(r.choice(["a", "b", "ab", "ж", "ё", "x" * 70]) for _ in range(r.randint(1, 30))) for _ in range(300)]
+    sets = [shingle_set(t, 3) for t in texts]
+    found = [set(dedup._shingle_set(t, 3).tolist()) for t in texts]
+    hashes = {}
+    for s, h in zip(sets, found):
+        assert len(s) == len(h)
+        for other, known in list(hashes.items())[:20]:
+            assert len(s & other) == len(h & known)
+        hashes[s] = h
+
+
 def test_signatures_by_brute_force(spark):
     texts = ["a b c d", "One, two", "x", "", None, "Ж ё Ж ё Ж ё Ж", "a b c d e f g"]
     got = {x["id"]: x for x in dedup.minhash_signatures(frame(spark, list(enumerate(texts)), "id bigint, t string"), ["id"], "t", 3, 2, 3, True).collect()}
