@@ -93,8 +93,8 @@ def drop_boilerplate(df: DataFrame, text: str, row_id: str, at_least: int) -> Da
 PRIME = (1 << 31) - 1
 # Shingles that a worker takes to their minima at once.
 _SLICE = 1 << 16
-# Rows and shingles of a band up to which one task finishes what its first leader left.
-BAND_ROWS, BAND_VALUES = 1000, 1 << 18
+# Rows and shingles of a band up to which one task finishes what its first leader left; of a longer one, those that lead a round.
+BAND_ROWS, BAND_VALUES = 4000, 1 << 20
 # Rows that meet one copy of their leader's text.
 LEADER_ROWS = 1000
 # What bytes, their places in a word and the places of words in a shingle are multiplied with.
@@ -279,11 +279,6 @@ def _texts_of(texts: DataFrame, listed: DataFrame, key: str, n: int) -> DataFram
     return met.select(*listed.columns, tx.joined_words(F.col(text)).alias("words")).withColumnRenamed(row_id, key)
 
 
-def _inner(own: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Tells for each value whether the sorted set holds it."""
-    return own[np.minimum(np.searchsorted(own, values), len(own) - 1)] == values
-
-
 def _judged(texts: DataFrame, pairs: DataFrame, n: int, least: float, width: int) -> DataFrame:
     """(row_id, leader, similarity) of the different pairs (row_id, leader), at most `n`, that are similar enough.
 
@@ -310,7 +305,7 @@ def _judged(texts: DataFrame, pairs: DataFrame, n: int, least: float, width: int
                 if other != held:
                     held, own = other, _shingle_set(other, width)
                 values = _shingle_set(words, width)
-                inner = int(_inner(own, values).sum())
+                inner = int((own[np.minimum(np.searchsorted(own, values), len(own) - 1)] == values).sum())
                 if (score := inner / (len(values) + len(own) - inner)) >= least:
                     places.append(place)
                     scores.append(score)
@@ -345,30 +340,75 @@ def _parted_by_size(rows: DataFrame, row_id: str, least: float) -> DataFrame:
     return cut.select(row_id, F.xxhash64("band", F.sum("_cut").over(below)).alias("band"))
 
 
+def _led_by_lowest(texts: DataFrame, left: DataFrame, least: float, width: int) -> tuple[DataFrame, DataFrame]:
+    """(links, rest) of bands (row_id, low, high, band): each row against the lowest of its band."""
+    row_id = texts.columns[0]
+    first = F.min(F.struct(row_id, "low", "high"))
+    leaders = left.groupBy("band").agg(first.alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
+    leaders = leaders.select("band", "_n", F.col(f"_first.{row_id}").alias("leader"), F.col("_first.low").alias("_low"), F.col("_first.high").alias("_high"))
+    asked = lookup(left, leaders, "band", F.col(row_id), "_n").filter(F.col("leader").isNotNull() & (F.col(row_id) != F.col("leader")))
+    asked = _settled_round(asked.withColumn("_fits", _fits(least, ("low", "high"), ("_low", "_high"))).drop("_low", "_high"))
+    pairs = asked.filter("_fits").select(row_id, "leader").distinct()
+    links = _settled_round(_judged(texts, pairs, asked.filter("_fits").count(), least, width))
+    rest = asked.join(links.select(row_id, "leader"), [row_id, "leader"], "left_anti").select(*left.columns)
+    return links, _settled_round(rest)
+
+
+def _led_by_blocks(texts: DataFrame, left: DataFrame, least: float, width: int) -> tuple[DataFrame, DataFrame]:
+    """(links, rest) of long bands (row_id, low, high, band): each row against the lowest of its band, as many as a task takes.
+
+    The others of a band are dealt over as many tasks as they ask for, each with a copy of these lowest rows.
+    """
+    row_id = texts.columns[0]
+    order = Window.partitionBy("band").orderBy(row_id)
+    lowest = left.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= BAND_ROWS)
+    lowest = lowest.withColumn("_values", F.sum("high").over(order)).filter((F.col("_rank") == 1) | (F.col("_values") <= BAND_VALUES))
+    others = left.join(lowest.select(row_id, "band"), [row_id, "band"], "left_anti")
+    slices = F.ceil(F.greatest(F.count("*") / BAND_ROWS, F.sum("high") / BAND_VALUES))
+    sizes = others.groupBy("band").agg(F.count("*").alias("_n"), slices.alias("slices"))
+    dealt = lookup(others, sizes, "band", F.col(row_id), "_n").withColumn("slice", F.pmod(F.xxhash64(row_id, "band"), "slices"))
+    copies = lowest.select(*left.columns).join(sizes.drop("_n"), "band").withColumn("slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1)))
+    columns = [*left.columns, "slice"]
+    asked = _settled_round(dealt.select(*columns, F.lit(0).alias("leads")).unionByName(copies.select(*columns, F.lit(1).alias("leads"))))
+    links = _settled_round(_within_bands(_texts_of(texts, asked.drop("low", "high"), row_id, asked.count()), row_id, least, width))
+    rest = asked.filter("leads = 0").join(links.select(row_id, "band"), [row_id, "band"], "left_anti").select(*left.columns)
+    return links.drop("band"), _settled_round(rest)
+
+
 def _within_bands(rows: DataFrame, row_id: str, least: float, width: int) -> DataFrame:
-    """(row_id, leader, similarity) for the rows of short bands (row_id, band, words), led by the lowest left, until none is."""
+    """(row_id, leader, similarity, band) for the rows (row_id, band, slice, leads, words) of each band and slice: the lowest row
+    left leads, as long as it is one that `leads`; these are the lowest of all."""
     kind = rows.schema[row_id].dataType.simpleString()
 
     def finish(band: pa.Table) -> pa.Table:
-        band = band.filter(pc.fill_null(pc.not_equal(band.column("words"), ""), False)).sort_by(row_id)
+        band = band.filter(pc.fill_null(pc.not_equal(band.column("words"), ""), False)).sort_by([("leads", "descending"), (row_id, "ascending")])
         sets = [_shingle_set(words.as_py(), width) for words in band.column("words")]
-        at, sizes, values = np.arange(len(sets)), np.array([len(s) for s in sets]), np.concatenate([*sets, np.empty(0, np.uint64)])
-        led, leaders, scores = [at[:0]], [at[:0]], [np.empty(0)]
-        while len(at) > 1:
-            own, head, at, sizes, values = sets[at[0]], at[0], at[1:], sizes[1:], values[sizes[0] :]
-            inner = np.add.reduceat(_inner(own, values).astype(np.int64), np.cumsum(sizes) - sizes)
-            score = inner / (sizes + len(own) - inner)
-            linked = score >= least
-            led.append(at[linked])
-            leaders.append(np.full(linked.sum(), head))
+        sizes = np.array([len(s) for s in sets], np.int64)
+        values = np.concatenate([*sets, np.empty(0, np.uint64)])
+        order = np.argsort(values)
+        values, holders = values[order], np.repeat(np.arange(len(sets)), sizes)[order]
+        left = np.ones(len(sets), bool)
+        led, leaders, scores = [np.arange(0)], [np.arange(0)], [np.empty(0)]
+        for head in range(int(pc.sum(band.column("leads")).as_py() or 0)):
+            if not left[head]:
+                continue
+            left[head] = False
+            begin, end = (np.searchsorted(values, sets[head], side) for side in ("left", "right"))
+            many = end - begin
+            met = holders[np.repeat(end - np.cumsum(many), many) + np.arange(many.sum())]
+            inner = np.bincount(met, minlength=len(sets))
+            score = inner / (sizes + sizes[head] - inner)
+            linked = np.flatnonzero(left & (score >= least))
+            left[linked] = False
+            led.append(linked)
+            leaders.append(np.full(len(linked), head))
             scores.append(score[linked])
-            values = values[np.repeat(~linked, sizes)]
-            at, sizes = at[~linked], sizes[~linked]
-        ids = band.column(row_id)
-        columns = [ids.take(pa.array(np.concatenate(places))) for places in (led, leaders)]
-        return pa.table([*columns, pa.array(np.concatenate(scores))], [row_id, "leader", "similarity"])
+        places = np.concatenate(led)
+        columns = [band.column(row_id).take(pa.array(at)) for at in (places, np.concatenate(leaders))]
+        columns += [pa.array(np.concatenate(scores)), band.column("band").take(pa.array(places))]
+        return pa.table(columns, [row_id, "leader", "similarity", "band"])
 
-    return rows.groupBy("band").applyInArrow(finish, f"{row_id} {kind}, leader {kind}, similarity double")
+    return rows.groupBy("band", "slice").applyInArrow(finish, f"{row_id} {kind}, leader {kind}, similarity double, band bigint")
 
 
 def verified_duplicates(
@@ -379,8 +419,8 @@ def verified_duplicates(
     A min-hash band only proposes. The rows of a band are compared with its lowest row; those
     that are not similar enough form the band's next group, until none is left, so each row is
     tied to the first leader it is verified against and no pairs within a group are formed. After a band's
-    first leader, one task finishes it if it has few rows left; a longer one takes further rounds over all tasks. Rows with one
-    and the same set are one row there. Groups are connected by these links; each removed row
+    first leader, one task finishes it if it has few rows left; in a longer one as many of the lowest rows as a task takes lead
+    the next round over all tasks. Rows with one and the same set are one row there. Groups are connected by these links; each removed row
     names the lowest row of its group, that row's source, and `similarity`, the highest of its own verified links
     (1 for equal sets; of links to rows it leads, if it has no leader).
 
@@ -405,17 +445,9 @@ def verified_duplicates(
     left = settled(_different_bands(left, row_id))
     links = short = None
     while left.limit(1).count():
-        first = F.min(F.struct(row_id, "low", "high"))
-        leaders = left.groupBy("band").agg(first.alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
-        leaders = leaders.select("band", "_n", F.col(f"_first.{row_id}").alias("leader"), F.col("_first.low").alias("_low"), F.col("_first.high").alias("_high"))
-        asked = lookup(left, leaders, "band", F.col(row_id), "_n").filter(F.col("leader").isNotNull() & (F.col(row_id) != F.col("leader")))
-        fits = _fits(least, ("low", "high"), ("_low", "_high"))
-        asked = _settled_round(asked.withColumn("_fits", fits).drop("_low", "_high"))
-        pairs = asked.filter("_fits").select(row_id, "leader").distinct()
-        judged = _settled_round(_judged(texts, pairs, asked.filter("_fits").count(), least, width))
-        links = judged if links is None else links.unionByName(judged)
-        rest = asked.join(judged.select(row_id, "leader"), [row_id, "leader"], "left_anti").select(row_id, "low", "high", "band")
-        rest = _settled_round(rest)
+        led = _led_by_lowest if links is None else _led_by_blocks
+        found, rest = led(texts, left, least, width)
+        links = found if links is None else links.unionByName(found)
         load = rest.groupBy("band").agg(F.count("*").alias("_n"), F.sum("high").alias("_values")).filter("_n > 1")
         few = load.select("band", "_n", ((F.col("_n") <= BAND_ROWS) & (F.col("_values") <= BAND_VALUES)).alias("_few"))
         marked = lookup(rest, few, "band", F.col(row_id), "_n").filter(F.col("_few").isNotNull())
@@ -426,8 +458,8 @@ def verified_duplicates(
         links = pairs_of_none(df, row_id)
     else:
         short = settled(_different_bands(settled(_parted_by_size(short, row_id, least)), row_id))
-        ending = _texts_of(texts, short, row_id, short.count())
-        links = links.unionByName(_within_bands(ending, row_id, least, width))
+        ending = _texts_of(texts, short.select("*", F.lit(0).alias("slice"), F.lit(1).alias("leads")), row_id, short.count())
+        links = links.unionByName(_within_bands(ending, row_id, least, width).drop("band"))
     links = settled(links.groupBy(row_id, "leader").agg(F.max("similarity").alias("similarity")))
     # 3. Groups of heads, then of all rows.
     named = components(links, row_id, "leader").withColumnRenamed("id", "head").withColumnRenamed("label", "group")
